@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.registry import Tables, as_text, money, query
+from rinse.functions import numeric
 from rinse.operators import keys, profile
 
 # Columns of lineitem as text, with what makes each of them interesting.
@@ -27,7 +28,7 @@ def _line_text(t: Tables) -> DataFrame:
     def text(name: str) -> Column:
         return F.col(name).cast("string")
 
-    return t.lineitem.select(
+    return t.spread("lineitem").select(
         "l_orderkey",
         "l_linenumber",
         text("l_partkey").alias("part"),
@@ -75,10 +76,10 @@ def cast_types(t: Tables) -> DataFrame:
     return _line_text(t).select(
         "l_orderkey",
         "l_linenumber",
-        F.col("part").try_cast("int").alias("part"),
-        F.col("price").try_cast("float").cast("double").alias("price"),
-        F.col("overflow").try_cast("int").alias("overflow"),
-        F.col("gaps").try_cast("int").alias("gaps"),
+        numeric.to_integer(F.col("part")).alias("part"),
+        numeric.to_float(F.col("price")).cast("double").alias("price"),
+        numeric.to_integer(F.col("overflow")).alias("overflow"),
+        numeric.to_integer(F.col("gaps")).alias("gaps"),
     )
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rinse.sources import readers
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -19,6 +21,10 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for work that costs much more than reading it."""
+        return readers.spread(getattr(self, name))
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}

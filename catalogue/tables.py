@@ -47,18 +47,16 @@ def header_normalise(t: Tables) -> DataFrame:
 
 @query("header_report", """
     select *, (select count(*) from customer) as row_count from (values
-        (0, 'CUST Key', 'cust_key', true, true, false, false),
-        (1, '  Full  Name ', 'full_name', true, true, false, false),
-        (2, 'Nation (%)', 'nation_', true, true, true, false),
-        (3, '_c3', 'unnamed_3', false, false, false, true),
-        (4, '_c4', 'unnamed_4', false, false, false, true),
-        (5, 'x!', 'x', false, false, true, false),
-        (6, 'x', 'x_2', false, false, false, false)
-    ) as h(position, source, name, has_uppercase, has_space, has_special, is_missing)""")
+        (0, 'CUST Key', 'cust_key', true, true, false, false, null),
+        (1, '  Full  Name ', 'full_name', true, true, false, false, null),
+        (2, 'Nation (%)', 'nation_', true, true, true, false, null),
+        (3, '_c3', 'unnamed_3', false, false, false, true, 0),
+        (4, '_c4', 'unnamed_4', false, false, false, true, (select count(c_mktsegment) from customer)),
+        (5, 'x!', 'x', false, false, true, false, null),
+        (6, 'x', 'x_2', false, false, false, false, null)
+    ) as h(position, source, name, has_uppercase, has_space, has_special, is_missing, non_null)""")
 def header_report(t: Tables) -> DataFrame:
-    messy = _messy(t)
-    rows = messy.agg(F.count(F.lit(1)).alias("row_count"))
-    return headers.header_report(t.spark, messy.columns).crossJoin(F.broadcast(rows))
+    return headers.header_report(_messy(t))
 
 
 @query("unnamed_columns", """
@@ -66,10 +64,7 @@ def header_report(t: Tables) -> DataFrame:
            c_mktsegment as unnamed_4, c_acctbal as x, c_acctbal as x_2
     from customer""")
 def unnamed_columns(t: Tables) -> DataFrame:
-    messy = _messy(t)
-    plan = learn(messy, CurationConfig())[0]
-    kept = headers.resolve(messy.columns, set(range(len(messy.columns))) - set(plan.positions))
-    return headers.rename(messy, kept)
+    return headers.name_columns(_messy(t))
 
 
 @query("dataset_report", """
@@ -139,7 +134,7 @@ DIRTY_CUSTOMER_SQL = """
 def _dirty_customer(t: Tables) -> DataFrame:
     segment = F.when(F.col("c_mktsegment") == "MACHINERY", "--").otherwise(F.col("c_mktsegment"))
     balance = F.abs("c_acctbal").cast("decimal(12,2)").cast("string")
-    rows = t.customer.select(
+    rows = t.spread("customer").select(
         F.col("c_custkey").cast("string").alias("CUST Key"),
         F.concat(F.lit(" "), "c_name", F.lit("! ")).alias("Name"),
         F.col("c_nationkey").cast("string").alias("Nation (%)"),
@@ -203,7 +198,7 @@ def curate_orders(t: Tables) -> DataFrame:
 
 def _dirty_orders(t: Tables) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "P", "#").otherwise(F.col("o_orderstatus"))
-    return t.orders.select(
+    return t.spread("orders").select(
         *as_text("o_orderkey", "o_custkey"),
         status.alias("o_orderstatus"),
         money("o_totalprice").alias("o_totalprice"),
@@ -218,7 +213,7 @@ def _dirty_orders(t: Tables) -> DataFrame:
            user_id::integer as user_id, event_type, value
     from events""")
 def curate_events(t: Tables) -> DataFrame:
-    rows = t.events.select(
+    rows = t.spread("events").select(
         *as_text("event_id", "user_id"),
         F.date_format("ts", "'at 'yyyy/MM/dd HH:mm:ss.SSSSSS").alias("ts"),
         F.concat(F.lit("<"), "event_type", F.lit(">")).alias("event_type"),

@@ -41,7 +41,7 @@ def _cascade_sql(mixed: str, *formats: str) -> str:
 
 
 def _iso(t: Tables, mixed: Column) -> DataFrame:
-    return t.orders.select(
+    return t.spread("orders").select(
         "o_orderkey", temporal.iso_date(temporal.strip_date(mixed)).alias("o_orderdate")
     )
 
@@ -103,7 +103,7 @@ def ts_detect(t: Tables) -> DataFrame:
 
 @query("detect_in_documents", _detect_sql(("documents", "text"), ("documents", "source")))
 def detect_in_documents(t: Tables) -> DataFrame:
-    return profile.detect(t.documents.select("text", "source"))
+    return profile.detect(t.spread("documents").select("text", "source"))
 
 
 @query("detect_sampled", """
@@ -158,7 +158,7 @@ def iso_ts_check(t: Tables) -> DataFrame:
 def ts_shift(t: Tables) -> DataFrame:
     stripped = temporal.strip_timestamp(_stamp())
     shifted = temporal.iso_timestamp(stripped, "America/New_York", "Asia/Tokyo")
-    return t.events.select("event_id", shifted.alias("ts"))
+    return t.spread("events").select("event_id", shifted.alias("ts"))
 
 
 @query("ts_iso_text", """

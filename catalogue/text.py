@@ -20,13 +20,13 @@ def clean_customer_name(t: Tables) -> DataFrame:
 @query("clean_page_html", f"""
     select page_id, {sql_clean('html')} as html from pages""")
 def clean_page_html(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", text.clean(F.col("html")).alias("html"))
+    return t.spread("pages").select("page_id", text.clean(F.col("html")).alias("html"))
 
 
 @query("clean_document_text", f"""
     select doc_id, {sql_clean('text')} as text from documents""")
 def clean_document_text(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", text.clean(F.col("text")).alias("text"))
+    return t.spread("documents").select("doc_id", text.clean(F.col("text")).alias("text"))
 
 
 @query("clean_extra_allowed", r"""
@@ -57,7 +57,7 @@ def _place(mode: int | None) -> None:
 
     @query(f"place_{mode or 'both'}", sql)
     def place(t: Tables) -> DataFrame:
-        rows = t.lineitem.select("l_orderkey", "l_linenumber", _marked().alias("marked"))
+        rows = t.spread("lineitem").select("l_orderkey", "l_linenumber", _marked().alias("marked"))
         return rows.withColumn("placed", text.clean(F.col("marked"), rule=rule))
 
 
@@ -96,7 +96,7 @@ def placement_violations(t: Tables) -> DataFrame:
     rules = tuple(
         PlacementRule.of("$", [mode, name] if mode else [name]) for mode, name in names.items()
     )
-    rows = t.lineitem.select([_marked().alias(name) for name in names.values()])
+    rows = t.spread("lineitem").select([_marked().alias(name) for name in names.values()])
     return profile.special_characters(rows, CurationConfig(placement=rules))
 
 
@@ -141,8 +141,8 @@ def _special_sql(*sources: tuple[str, str]) -> str:
 def special_profile(t: Tables) -> DataFrame:
     config = CurationConfig()
     return (
-        profile.special_characters(t.documents, config, ["text", "lang"])
-        .unionByName(profile.special_characters(t.pages, config, ["url", "html"]))
+        profile.special_characters(t.spread("documents"), config, ["text", "lang"])
+        .unionByName(profile.special_characters(t.spread("pages"), config, ["url", "html"]))
         .unionByName(profile.special_characters(t.part, config, ["p_name", "p_brand"]))
     )
 

@@ -1,16 +1,35 @@
-"""Column expressions that tell whether text is a number of a given type."""
+"""Column expressions that tell whether text is a number, and make it one.
+
+A cast that fails costs an exception inside Spark, so patterns sort out first what
+would fail.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from rinse.functions import patterns
 
+_SMALLEST, _LARGEST = -(2**31), 2**31 - 1
+
+
+def to_integer(value: Column) -> Column:
+    """A 32-bit integer, NULL for what is none or too large for one."""
+    wide = F.when(value.rlike(patterns.SHORT_INTEGER), value.try_cast("bigint"))
+    return F.when(wide.between(_SMALLEST, _LARGEST), wide.cast("int"))
+
+
+def to_float(value: Column) -> Column:
+    """A 32-bit float, NULL for what is none."""
+    return value.try_cast("float")
+
 
-# The pattern goes first: a failing cast costs an exception inside Spark.
 def fits_integer(value: Column) -> Column:
-    return value.rlike(patterns.INTEGER) & value.try_cast("int").isNotNull()
+    """Whether the text is digits only and small enough."""
+    return value.rlike(patterns.INTEGER) & to_integer(value).isNotNull()
 
 
 def fits_float(value: Column) -> Column:
-    return value.rlike(patterns.FLOAT) & value.try_cast("float").isNotNull()
+    """Whether the text is digits around a single point."""
+    return value.contains(".") & value.rlike(patterns.FLOAT)

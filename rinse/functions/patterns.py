@@ -23,7 +23,10 @@ NOT_TIMESTAMP = r"[^0-9+TZ:./ \-]"
 
 # What an integer and a float look like.
 INTEGER = r"\A[0-9]+\z"
-FLOAT = r"\A[0-9]*\.[0-9]*\z"
+FLOAT = r"\A(?:[0-9]+\.[0-9]*|\.[0-9]+)\z"
+
+# Integers that a 64-bit number surely holds.
+SHORT_INTEGER = r"\A[+-]?0*[0-9]{1,18}\z"
 
 # What counts as ISO text.
 ISO_DATE = r"\A(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}\z"

@@ -9,12 +9,13 @@ from rinse.functions import patterns
 from rinse.functions.text import has_outer_space, trim_space
 
 
+# Most values are spared the pattern, because they lack a character it cannot do without.
 def looks_like_date(value: Column) -> Column:
-    return value.rlike(patterns.DATE_LIKE)
+    return (value.contains("-") | value.contains("/")) & value.rlike(patterns.DATE_LIKE)
 
 
 def looks_like_timestamp(value: Column) -> Column:
-    return value.rlike(patterns.TIMESTAMP_LIKE)
+    return value.contains(":") & value.rlike(patterns.TIMESTAMP_LIKE)
 
 
 def is_iso_date(value: Column) -> Column:

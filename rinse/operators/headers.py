@@ -10,7 +10,8 @@ import re
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rinse.functions.expressions import column
 
@@ -102,14 +103,42 @@ def rename(df: DataFrame, headers: Sequence[Header]) -> DataFrame:
     return positional.select([column(f"at_{h.position}").alias(h.name) for h in headers])
 
 
-def header_report(spark: SparkSession, names: Sequence[str]) -> DataFrame:
-    """One row per column: its old and new name and what was wrong with it."""
-    rows = [
-        (h.position, h.source, h.name, h.uppercase, h.space, h.special, h.missing)
-        for h in resolve(names)
-    ]
-    return spark.createDataFrame(
-        rows,
-        "position int, source string, name string, has_uppercase boolean, has_space boolean, "
-        "has_special boolean, is_missing boolean",
+def name_columns(df: DataFrame) -> DataFrame:
+    """``df`` under clean names, without the unnamed columns that hold no value.
+
+    Reads data only if there are unnamed columns, and then only those.
+    """
+    headers = resolve(df.columns)
+    renamed = rename(df, headers)
+    unnamed = [h.name for h in headers if h.missing]
+    if not unnamed:
+        return renamed
+    counts = renamed.agg(*[F.count(name).alias(name) for name in unnamed]).first().asDict()
+    dropped = empty_unnamed(headers, counts)
+    return rename(df, resolve(df.columns, dropped))
+
+
+def header_report(df: DataFrame) -> DataFrame:
+    """One row per column: its old and new name, what was wrong with it, and for an
+    unnamed column how many values it holds. Scans the unnamed columns only."""
+    headers = resolve(df.columns)
+    renamed = rename(df, headers)
+    counts = renamed.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.count(h.name).alias(h.name) for h in headers if h.missing],
     )
+    none = F.lit(None).cast("bigint")
+    findings = [
+        F.struct(
+            F.lit(h.position).alias("position"),
+            F.lit(h.source).alias("source"),
+            F.lit(h.name).alias("name"),
+            F.lit(h.uppercase).alias("has_uppercase"),
+            F.lit(h.space).alias("has_space"),
+            F.lit(h.special).alias("has_special"),
+            F.lit(h.missing).alias("is_missing"),
+            (F.col(h.name) if h.missing else none).alias("non_null"),
+        )
+        for h in headers
+    ]
+    return counts.select(F.inline(F.array(*findings)), "row_count")

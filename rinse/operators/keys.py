@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,3 +103,68 @@ def count_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("rows_before"),
         F.count(F.lit(1)).alias("rows_after"),
     ).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
+
+
+#: Up to this many repeated keys, with this much text in them, are sent to all executors.
+MAX_BROADCAST_KEYS = 200_000
+MAX_BROADCAST_BYTES = 16 << 20
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that occur more than once, with their number of ``copies``."""
+    groups = df.groupBy(*[column(name) for name in keys])
+    return groups.agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+
+
+@dataclass(frozen=True)
+class Repetition:
+    """How much of a table repeats: distinct repeated keys, their size, and the rows too many."""
+
+    key_count: int
+    key_bytes: int
+    removed: int
+
+    @property
+    def fits_broadcast(self) -> bool:
+        return self.key_count <= MAX_BROADCAST_KEYS and self.key_bytes <= MAX_BROADCAST_BYTES
+
+
+def measure_repetition(df: DataFrame, keys: Sequence[str]) -> Repetition:
+    """One job that shuffles nothing but keys."""
+    size = F.lit(0)
+    for name in keys:
+        size = size + F.coalesce(F.octet_length(column(name).cast("string")), F.lit(0))
+    row = (
+        repeated_keys(df, keys)
+        .agg(
+            F.count(F.lit(1)).alias("key_count"),
+            F.coalesce(F.sum(size), F.lit(0)).alias("key_bytes"),
+            F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("removed"),
+        )
+        .first()
+    )
+    return Repetition(row["key_count"], row["key_bytes"], row["removed"])
+
+
+def deduplicate_measured(
+    df: DataFrame, keys: Sequence[str], repetition: Repetition, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """Like ``deduplicate``, but rows whose key occurs once are not shuffled where that can be told.
+
+    Without repeated keys there is nothing to do. If there are few, they are
+    broadcast, and only their rows take part in the aggregation. If there are many,
+    the whole table does.
+    """
+    if repetition.key_count == 0:
+        return df
+    if not repetition.fits_broadcast:
+        return deduplicate(df, keys, order_by)
+    repeated = F.broadcast(
+        repeated_keys(df, keys).select([column(name).alias(f"{name} again") for name in keys])
+    )
+    same = F.lit(True)
+    for name in keys:
+        same = same & column(name).eqNullSafe(column(f"{name} again"))
+    single = df.join(repeated, same, "left_anti")
+    several = df.join(repeated, same, "left_semi")
+    return single.unionByName(deduplicate(several, keys, order_by))

@@ -185,9 +185,8 @@ def curate(
 ) -> CurationResult:
     """Curate a table. The number of jobs does not depend on its number of columns.
 
-    With an output folder the curated table is written once, and both the result
-    and the count of duplicates come from what was written. Without one the result
-    is a plan still to be run, and duplicates are counted on the key columns.
+    With an output folder the curated table is written once and read back as the
+    result; without one the result is still to be computed by whoever uses it.
     ``source`` gives the written files their name.
     """
     spark = df.sparkSession
@@ -197,18 +196,22 @@ def curate(
     bound = _bind(config, headers)
     cleaned = planning.apply(df, plan)
     by = keys.dedup_keys(cleaned.columns, plan.primary_key, plan.composite_keys)
-    curated = keys.deduplicate(cleaned, by, plan.order_by)
-
     rows = max(row["rows"] for row in counts.values())
-    written = None
-    if output_folder is None:
-        remaining = keys.count_duplicates(cleaned, by).first()["rows_after"]
+    removed = None
+    if len(by) < len(cleaned.columns):
+        repetition = keys.measure_repetition(cleaned, by)
+        removed = repetition.removed
+        curated = keys.deduplicate_measured(cleaned, by, repetition, plan.order_by)
     else:
+        curated = keys.deduplicate(cleaned, by)
+
+    written = None
+    if output_folder is not None:
         written = writers.output_path(output_folder, source, now)
         writers.write_parquet(curated, written, overwrite=log_folder is not None)
         curated = spark.read.schema(curated.schema).parquet(written)
-        remaining = curated.count()
-    removed = rows - remaining
+    if removed is None:
+        removed = rows - curated.count()
 
     entries = [
         *_header_entries(headers, dropped),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rinse.functions import temporal, text
+from rinse.functions import numeric, temporal, text
 from rinse.functions.expressions import column
 from rinse.operators.headers import Header
 from rinse.operators.profile import text_columns
@@ -146,9 +146,9 @@ def _typed(value: Column, plan: ColumnPlan, whole: CurationPlan, schema: T.Struc
         wall = temporal.utc_wall(value) if is_instant else value
         return temporal.shift_zone(wall, whole.input_tz, whole.output_tz)
     if plan.kind == INTEGER:
-        return value.try_cast("int")
+        return numeric.to_integer(value)
     if plan.kind == FLOAT:
-        return value.try_cast("float")
+        return numeric.to_float(value)
     return value
 
 

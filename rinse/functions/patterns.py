@@ -29,14 +29,14 @@ FLOAT = r"\A(?:[0-9]+\.[0-9]*|\.[0-9]+)\z"
 SHORT_INTEGER = r"\A[+-]?0*[0-9]{1,18}\z"
 
 # What counts as ISO text.
-ISO_DATE = r"\A(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+ISO_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 ISO_TIMESTAMP = (
     r"[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}"
     r"(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2}|)"
 )
 
 # The shapes of date text, with the fields as groups.
-_YEAR = r"((?!0000)[0-9]{4})"
+_YEAR = r"(-?[0-9]{4})"
 _FIELD = r"0*([0-9]{1,2})"
 YEAR_FIRST = rf"\A{_YEAR}([/-])([0-9]{{2}})\2([0-9]{{2}})\z"
 YEAR_LAST_SLASH = rf"\A{_FIELD}/{_FIELD}/{_YEAR}\z"

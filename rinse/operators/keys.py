@@ -105,45 +105,53 @@ def count_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
 
 
-#: Up to this many repeated keys, with this much text in them, are sent to all executors.
-MAX_BROADCAST_KEYS = 200_000
-MAX_BROADCAST_BYTES = 16 << 20
+#: Up to this many repeated hashes, of eight bytes each, are sent to all executors.
+MAX_BROADCAST_HASHES = 500_000
 
+_HASH = "key hash"
 
-def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys that occur more than once, with their number of ``copies``."""
-    groups = df.groupBy(*[column(name) for name in keys])
+
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[column(name) for name in keys])
+
+
+def _repeated_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hashes that more than one row's key has. Equal keys have equal hashes, so the
+    key of every other row is certain to occur only once."""
+    groups = df.select(_key_hash(keys).alias(_HASH)).groupBy(_HASH)
     return groups.agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
 @dataclass(frozen=True)
 class Repetition:
-    """How much of a table repeats: distinct repeated keys, their size, and the rows too many."""
+    """How many hashes repeat, and how many rows have one of them."""
 
-    key_count: int
-    key_bytes: int
-    removed: int
+    hashes: int
+    rows: int
 
     @property
     def fits_broadcast(self) -> bool:
-        return self.key_count <= MAX_BROADCAST_KEYS and self.key_bytes <= MAX_BROADCAST_BYTES
+        return self.hashes <= MAX_BROADCAST_HASHES
 
 
 def measure_repetition(df: DataFrame, keys: Sequence[str]) -> Repetition:
-    """One job that shuffles nothing but keys."""
-    size = F.lit(0)
-    for name in keys:
-        size = size + F.coalesce(F.octet_length(column(name).cast("string")), F.lit(0))
+    """One job that reads the key columns and shuffles eight bytes and a count per key."""
     row = (
-        repeated_keys(df, keys)
+        _repeated_hashes(df, keys)
         .agg(
-            F.count(F.lit(1)).alias("key_count"),
-            F.coalesce(F.sum(size), F.lit(0)).alias("key_bytes"),
-            F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("removed"),
+            F.count(F.lit(1)).alias("hashes"),
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
         )
         .first()
     )
-    return Repetition(row["key_count"], row["key_bytes"], row["removed"])
+    return Repetition(row["hashes"], row["rows"])
+
+
+def _split(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is certain to be the only one, and all others."""
+    hashes = F.broadcast(_repeated_hashes(df, keys).select(_HASH))
+    same = _key_hash(keys) == F.col(_HASH)
+    return df.join(hashes, same, "left_anti"), df.join(hashes, same, "left_semi")
 
 
 def deduplicate_measured(
@@ -151,20 +159,21 @@ def deduplicate_measured(
 ) -> DataFrame:
     """Like ``deduplicate``, but rows whose key occurs once are not shuffled where that can be told.
 
-    Without repeated keys there is nothing to do. If there are few, they are
-    broadcast, and only their rows take part in the aggregation. If there are many,
-    the whole table does.
+    Without repeated hashes there is nothing to do. If there are few, they are
+    broadcast, and only the rows that have one take part in the aggregation, which
+    compares whole keys. If there are many, all rows take part.
     """
-    if repetition.key_count == 0:
+    if repetition.hashes == 0:
         return df
     if not repetition.fits_broadcast:
         return deduplicate(df, keys, order_by)
-    repeated = F.broadcast(
-        repeated_keys(df, keys).select([column(name).alias(f"{name} again") for name in keys])
-    )
-    same = F.lit(True)
-    for name in keys:
-        same = same & column(name).eqNullSafe(column(f"{name} again"))
-    single = df.join(repeated, same, "left_anti")
-    several = df.join(repeated, same, "left_semi")
+    single, several = _split(df, keys)
     return single.unionByName(deduplicate(several, keys, order_by))
+
+
+def count_removed(df: DataFrame, keys: Sequence[str], repetition: Repetition) -> int:
+    """How many rows deduplication removes, from the key columns alone."""
+    if repetition.hashes == 0:
+        return 0
+    affected = _split(df, keys)[1] if repetition.fits_broadcast else df
+    return count_duplicates(affected, keys).first()["removed"]

@@ -196,22 +196,16 @@ def curate(
     bound = _bind(config, headers)
     cleaned = planning.apply(df, plan)
     by = keys.dedup_keys(cleaned.columns, plan.primary_key, plan.composite_keys)
-    rows = max(row["rows"] for row in counts.values())
-    removed = None
-    if len(by) < len(cleaned.columns):
-        repetition = keys.measure_repetition(cleaned, by)
-        removed = repetition.removed
-        curated = keys.deduplicate_measured(cleaned, by, repetition, plan.order_by)
-    else:
-        curated = keys.deduplicate(cleaned, by)
-
+    repetition = keys.measure_repetition(cleaned, by)
+    curated = keys.deduplicate_measured(cleaned, by, repetition, plan.order_by)
     written = None
-    if output_folder is not None:
+    if output_folder is None:
+        removed = keys.count_removed(cleaned, by, repetition)
+    else:
         written = writers.output_path(output_folder, source, now)
         writers.write_parquet(curated, written, overwrite=log_folder is not None)
         curated = spark.read.schema(curated.schema).parquet(written)
-    if removed is None:
-        removed = rows - curated.count()
+        removed = max(row["rows"] for row in counts.values()) - curated.count()
 
     entries = [
         *_header_entries(headers, dropped),

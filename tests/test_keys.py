@@ -36,24 +36,30 @@ def test_survivor_does_not_depend_on_partitioning(spark, skewed, partitions):
     assert rows(keys.deduplicate(df.repartition(partitions), ["k"], ["n"])) == survivors(data)
 
 
-@pytest.mark.parametrize("most", [0, 10, 10**6])
-def test_measured_deduplication_takes_every_way(spark, skewed, monkeypatch, most):
+@pytest.mark.parametrize("most", [0, 500, 10**6])
+@pytest.mark.parametrize("collide", [False, True])
+def test_measured_deduplication_takes_every_way(spark, skewed, monkeypatch, most, collide):
     df, data = skewed
-    monkeypatch.setattr(keys, "MAX_BROADCAST_KEYS", most)
+    monkeypatch.setattr(keys, "MAX_BROADCAST_HASHES", most)
+    if collide:
+        monkeypatch.setattr(keys, "_key_hash", lambda names: F.xxhash64(*names) % 97)
     repetition = keys.measure_repetition(df, ["k"])
-    assert repetition.removed == len(data) - len(survivors(data))
     result = keys.deduplicate_measured(df, ["k"], repetition, ["n"])
     plan = result._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in plan) == (repetition.key_count <= most)
+    assert ("BroadcastHashJoin" in plan) == (repetition.hashes <= most) == (most > 0)
     assert rows(result) == survivors(data)
+    assert keys.count_removed(df, ["k"], repetition) == len(data) - len(survivors(data))
 
 
-def test_broadcast_is_bounded_in_bytes(spark, monkeypatch):
-    df = spark.createDataFrame([("x" * 100, 1)] * 2 + [("y", 1)], "k string, n int")
-    repetition = keys.measure_repetition(df, ["k"])
-    assert (repetition.key_count, repetition.key_bytes, repetition.removed) == (1, 100, 1)
-    monkeypatch.setattr(keys, "MAX_BROADCAST_BYTES", 99)
-    assert not repetition.fits_broadcast
+def test_measured_whole_rows(spark, skewed):
+    df, data = skewed
+    doubled = df.union(df.filter("n = 0"))
+    repetition = keys.measure_repetition(doubled, doubled.columns)
+    zeros = sum(n == 0 for _, n, _ in data)
+    assert (repetition.hashes, repetition.rows) == (zeros, 2 * zeros)
+    result = keys.deduplicate_measured(doubled, doubled.columns, repetition)
+    assert rows(result) == sorted(data, key=repr)
+    assert keys.count_removed(doubled, doubled.columns, repetition) == zeros
 
 
 def test_unique_keys_are_not_shuffled(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import Tables, as_text, money, query, sql_clean, sql_place, sql_text, sql_trim
 from rinse.operators import headers, report
+from rinse.operators.profile import profile
 from rinse.plans import plan as planning
 from rinse.plans.config import CurationConfig
 from rinse.plans.curate import curate, learn
@@ -181,7 +182,7 @@ def curate_customer_csv(t: Tables) -> DataFrame:
            {sql_text('"Segment"')} as segment
     from ({DIRTY_CUSTOMER_SQL})""")
 def apply_saved_plan(t: Tables) -> DataFrame:
-    saved = learn(_dirty_customer(t), CUSTOMER_CONFIG)[0].to_json()
+    saved = learn(_dirty_customer(t), CUSTOMER_CONFIG).plan.to_json()
     return planning.apply(_dirty_customer(t), CurationPlan.from_json(saved))
 
 
@@ -259,8 +260,6 @@ def audit_log(t: Tables) -> DataFrame:
            count(*) filter (where k = '') as empty_rows, count(nullif(k, '')) as filled_rows
     from long group by "column" """)
 def profile_customer(t: Tables) -> DataFrame:
-    from rinse.operators.profile import profile
-
     dirty = _dirty_customer(t)
     names = headers.resolve(dirty.columns)
     config = CurationConfig.of(valid_spl_chars={"$": [1, "balance"]})

@@ -46,15 +46,22 @@ def _bind(config: CurationConfig, headers: Sequence[Header]) -> CurationConfig:
     return bound
 
 
-def learn(
-    df: DataFrame, config: CurationConfig
-) -> tuple[CurationPlan, Counts, list[Header], list[str]]:
-    """Profile ``df`` and plan its curation: one pass over the data, and a second one
-    over the date and timestamp columns if there are any.
+@dataclass(frozen=True)
+class Learned:
+    """What a profile found: the plan made from it, the counts per new column name, the
+    columns that stay, and the names of those that go for want of a name and a value."""
 
-    Returns the plan, the findings per new column name, the headers, and the names
-    of the columns that go because they have neither a name nor a value.
-    """
+    plan: CurationPlan
+    config: CurationConfig
+    counts: Counts
+    headers: list[Header]
+    dropped: list[str]
+
+
+def learn(df: DataFrame, config: CurationConfig | None = None) -> Learned:
+    """Profile ``df`` and plan its curation: one pass over the data, and a second one
+    over the date and timestamp columns if there are any."""
+    config = config or CurationConfig()
     if not df.columns:
         raise ValueError("the file is empty")
     if header_rules.all_missing(df.columns):
@@ -74,6 +81,8 @@ def learn(
     if referenced:
         raise ValueError(f"the configuration names columns without a header or value: {referenced}")
     headers = [header for header in headers if header.position not in empty]
+    if not headers:
+        raise ValueError("no column has a header or a value")
     renamed = renamed.drop(*dropped)
     plan = planning.make_plan(renamed, df.columns, headers, counts, bound)
 
@@ -86,7 +95,7 @@ def learn(
         later = _by_column(profile_temporal(renamed, bound, dates, timestamps, parts))
         for name, row in later.items():
             counts[name] = counts[name] | row
-    return plan, counts, headers, dropped
+    return Learned(plan, bound, counts, headers, dropped)
 
 
 def _header_entries(headers: Sequence[Header], dropped: Sequence[str]) -> list[Entry]:
@@ -190,10 +199,9 @@ def curate(
     ``source`` gives the written files their name.
     """
     spark = df.sparkSession
-    config = config or CurationConfig()
     now = datetime.now()
-    plan, counts, headers, dropped = learn(df, config)
-    bound = _bind(config, headers)
+    learned = learn(df, config)
+    plan, counts = learned.plan, learned.counts
     cleaned = planning.apply(df, plan)
     by = keys.dedup_keys(cleaned.columns, plan.primary_key, plan.composite_keys)
     repetition = keys.measure_repetition(cleaned, by)
@@ -208,8 +216,8 @@ def curate(
         removed = max(row["rows"] for row in counts.values()) - curated.count()
 
     entries = [
-        *_header_entries(headers, dropped),
-        *_data_entries(plan, bound, counts),
+        *_header_entries(learned.headers, learned.dropped),
+        *_data_entries(plan, learned.config, counts),
         Entry(DATA, "duplicates", f"{removed} duplicates removed", ", ".join(by), removed),
     ]
     audit = audit_table(spark, entries, now)

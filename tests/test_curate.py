@@ -175,7 +175,8 @@ def test_curating_twice_changes_nothing(spark):
 def test_composite_key_with_a_date_part(spark):
     df = spark.createDataFrame(
         [("2024-01-02", "a"), ("2024-99-99", ""), ("zz", "b")], "d string, t string")
-    plan, counts, _, _ = learn(df, CurationConfig(composite_keys=("d", "t")))
+    learned = learn(df, CurationConfig(composite_keys=("d", "t")))
+    plan, counts = learned.plan, learned.counts
     assert plan.of_kind(planning.DATE) == ["d"]
     # The second row's date is none and its text is empty, so no part of the key is left.
     assert counts[COMPOSITE]["rows"] - counts[COMPOSITE]["filled_rows"] == 1

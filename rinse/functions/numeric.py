@@ -1,4 +1,4 @@
-"""Column expressions that tell whether text is a number, and make it one.
+"""Column expressions that tell whether text is a number.
 
 A cast that fails costs an exception inside Spark, so patterns sort out first what
 would fail.
@@ -11,25 +11,43 @@ from pyspark.sql import functions as F
 
 from rinse.functions import patterns
 
-_SMALLEST, _LARGEST = -(2**31), 2**31 - 1
+_LARGEST_INTEGER = 2**31 - 1
 
 
-def to_integer(value: Column) -> Column:
-    """A 32-bit integer, NULL for what is none or too large for one."""
-    wide = F.when(value.rlike(patterns.SHORT_INTEGER), value.try_cast("bigint"))
-    return F.when(wide.between(_SMALLEST, _LARGEST), wide.cast("int"))
+def is_plain(value: Column) -> Column:
+    """Whether the text is a number that no cleaning rule changes."""
+    return value.rlike(patterns.PLAIN_NUMBER)
 
 
-def to_float(value: Column) -> Column:
-    """A 32-bit float, NULL for what is none."""
-    return value.try_cast("float")
+def is_number(value: Column) -> Column:
+    """Whether the text is digits with at most one point."""
+    return value.rlike(patterns.NUMBER)
+
+
+def number_is_integer(value: Column) -> Column:
+    """Whether the text, known to be a number, has no point and fits 32 bits."""
+    fits = value.rlike(patterns.SHORT_INTEGER) & (value.try_cast("bigint") <= _LARGEST_INTEGER)
+    return ~value.contains(".") & ((F.length(value) <= 9) | fits)
+
+
+def number_is_float(value: Column) -> Column:
+    """Whether the text, known to be a number, has a point."""
+    return value.contains(".")
 
 
 def fits_integer(value: Column) -> Column:
-    """Whether the text is digits only and small enough."""
-    return value.rlike(patterns.INTEGER) & to_integer(value).isNotNull()
+    return is_number(value) & number_is_integer(value)
 
 
 def fits_float(value: Column) -> Column:
-    """Whether the text is digits around a single point."""
-    return value.contains(".") & value.rlike(patterns.FLOAT)
+    return is_number(value) & number_is_float(value)
+
+
+def to_integer(value: Column) -> Column:
+    """A 32-bit integer, NULL for text that is none, at no exception each."""
+    return F.when(fits_integer(value), value.try_cast("int"))
+
+
+def to_float(value: Column) -> Column:
+    """A 32-bit float, NULL for text that is none, at no exception each."""
+    return F.when(fits_float(value), value.try_cast("float"))

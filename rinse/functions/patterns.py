@@ -21,12 +21,12 @@ WHITESPACE = " \t\n\x0b\f\r"
 NOT_DATE = r"[^0-9/\-]"
 NOT_TIMESTAMP = r"[^0-9+TZ:./ \-]"
 
-# What an integer and a float look like.
-INTEGER = r"\A[0-9]+\z"
-FLOAT = r"\A(?:[0-9]+\.[0-9]*|\.[0-9]+)\z"
+# Digits with at most one point.
+NUMBER = r"\A(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)\z"
 
-# Integers that a 64-bit number surely holds.
-SHORT_INTEGER = r"\A[+-]?0*[0-9]{1,18}\z"
+# Numbers that no cleaning rule changes, and digits that a 64-bit integer holds.
+PLAIN_NUMBER = r"\A[0-9]+(?:\.[0-9]+)?\z"
+SHORT_INTEGER = r"\A0*[0-9]{1,10}\z"
 
 # What counts as ISO text.
 ISO_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"

@@ -45,25 +45,26 @@ def has_padding(value: Column) -> Column:
     return has_outer_space(_timestamp_characters(value))
 
 
-def _reordered(value: Column, shape: str, *orders: str) -> Column:
-    dates = [F.regexp_replace(value, shape, order).try_cast("date") for order in orders]
-    return F.when(value.rlike(shape), F.coalesce(*dates))
-
-
 def iso_date(value: Column) -> Column:
     """Stripped date text to DATE, NULL where it is none.
 
     Slashes read day first, dashes month first, and each order the other way round
     where that gives no date; with the year in front month comes before day. The
-    shape decides which orders can apply and a cast does the rest, because a
-    cascade of format parsers raises an exception inside Spark for each miss.
+    fields are put in ISO order and cast, because a cascade of format parsers raises
+    an exception inside Spark for each format that does not fit.
     """
-    return F.coalesce(
-        _reordered(value, patterns.YEAR_FIRST, "$1-$3-$4", "$1-$4-$3"),
-        _reordered(value, patterns.YEAR_LAST_SLASH, "$3-$2-$1", "$3-$1-$2"),
-        _reordered(value, patterns.YEAR_LAST_DASH, "$3-$1-$2", "$3-$2-$1"),
-        value.try_cast("date"),
+    orders = (
+        (patterns.YEAR_LAST_SLASH, "$3-$2-$1"),
+        (patterns.YEAR_LAST_SLASH, "$3-$1-$2"),
+        (patterns.YEAR_LAST_DASH, "$3-$1-$2"),
+        (patterns.YEAR_LAST_DASH, "$3-$2-$1"),
+        (patterns.YEAR_FIRST, "$1-$3-$4"),
+        (patterns.YEAR_FIRST, "$1-$4-$3"),
     )
+    # What can be cast as it is has its year in front and its month next. Text of
+    # another shape is left alone by a replacement, and casting it fails once more.
+    reordered = [F.regexp_replace(value, shape, order) for shape, order in orders]
+    return F.coalesce(*[text.try_cast("date") for text in (value, *reordered)])
 
 
 def _to_millis(wall: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,77 +102,3 @@ def count_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("rows_before"),
         F.count(F.lit(1)).alias("rows_after"),
     ).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
-
-
-#: Up to this many repeated hashes, of eight bytes each, are sent to all executors.
-MAX_BROADCAST_HASHES = 500_000
-
-_HASH = "key hash"
-
-
-def _key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[column(name) for name in keys])
-
-
-def _repeated_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hashes that more than one row's key has. Equal keys have equal hashes, so the
-    key of every other row is certain to occur only once."""
-    groups = df.select(_key_hash(keys).alias(_HASH)).groupBy(_HASH)
-    return groups.agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-
-
-@dataclass(frozen=True)
-class Repetition:
-    """How many hashes repeat, and how many rows have one of them."""
-
-    hashes: int
-    rows: int
-
-    @property
-    def fits_broadcast(self) -> bool:
-        return self.hashes <= MAX_BROADCAST_HASHES
-
-
-def measure_repetition(df: DataFrame, keys: Sequence[str]) -> Repetition:
-    """One job that reads the key columns and shuffles eight bytes and a count per key."""
-    row = (
-        _repeated_hashes(df, keys)
-        .agg(
-            F.count(F.lit(1)).alias("hashes"),
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        )
-        .first()
-    )
-    return Repetition(row["hashes"], row["rows"])
-
-
-def _split(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key is certain to be the only one, and all others."""
-    hashes = F.broadcast(_repeated_hashes(df, keys).select(_HASH))
-    same = _key_hash(keys) == F.col(_HASH)
-    return df.join(hashes, same, "left_anti"), df.join(hashes, same, "left_semi")
-
-
-def deduplicate_measured(
-    df: DataFrame, keys: Sequence[str], repetition: Repetition, order_by: Sequence[str] = ()
-) -> DataFrame:
-    """Like ``deduplicate``, but rows whose key occurs once are not shuffled where that can be told.
-
-    Without repeated hashes there is nothing to do. If there are few, they are
-    broadcast, and only the rows that have one take part in the aggregation, which
-    compares whole keys. If there are many, all rows take part.
-    """
-    if repetition.hashes == 0:
-        return df
-    if not repetition.fits_broadcast:
-        return deduplicate(df, keys, order_by)
-    single, several = _split(df, keys)
-    return single.unionByName(deduplicate(several, keys, order_by))
-
-
-def count_removed(df: DataFrame, keys: Sequence[str], repetition: Repetition) -> int:
-    """How many rows deduplication removes, from the key columns alone."""
-    if repetition.hashes == 0:
-        return 0
-    affected = _split(df, keys)[1] if repetition.fits_broadcast else df
-    return count_duplicates(affected, keys).first()["removed"]

@@ -82,10 +82,11 @@ def infer_types(df: DataFrame) -> DataFrame:
     """The numeric type that all values of a text column fit, else string."""
     pairs = _pairs(df, text_columns(df), {})
     value = F.col("value")
-    counts = pairs.groupBy("column").agg(
+    number = F.col("number")
+    counts = pairs.withColumn("number", numeric.is_number(value)).groupBy("column").agg(
         F.count(value).alias("non_null"),
-        F.count_if(numeric.fits_float(value)).alias("float_rows"),
-        F.count_if(numeric.fits_integer(value)).alias("integer_rows"),
+        F.count_if(number & numeric.number_is_float(value)).alias("float_rows"),
+        F.count_if(number & numeric.number_is_integer(value)).alias("integer_rows"),
     )
     some = F.col("non_null") > 0
     return counts.withColumn(
@@ -128,19 +129,18 @@ def profile(df: DataFrame, config: CurationConfig) -> DataFrame:
             for name in config.composite_keys
         ]
         markers[COMPOSITE] = _marker(~keys.composite_is_empty(parts))
-    value, trimmed, cleaned, final = map(F.col, ("value", "trimmed", "cleaned", "final"))
+    value, trimmed, cleaned = map(F.col, ("value", "trimmed", "cleaned"))
+    plain, number = F.col("plain"), F.col("number")
+    by_rule = _by_rule(
+        config, F.col("column"), lambda rule: text.clean(trimmed, config.extra_allowed, rule)
+    )
+    # One pattern settles most numbers: they need no trimming and no cleaning.
     steps = (
         _pairs(df, texts, markers)
-        .withColumn("trimmed", text.trim_space(value))
-        .withColumn(
-            "cleaned",
-            _by_rule(
-                config,
-                F.col("column"),
-                lambda rule: text.clean(trimmed, config.extra_allowed, rule),
-            ),
-        )
-        .withColumn("final", text.empty_to_null(cleaned))
+        .withColumn("plain", numeric.is_plain(value))
+        .withColumn("trimmed", F.when(plain, value).otherwise(text.trim_space(value)))
+        .withColumn("cleaned", F.when(plain, trimmed).otherwise(by_rule))
+        .withColumn("number", plain | numeric.is_number(cleaned))
     )
     return steps.groupBy("column").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -150,9 +150,9 @@ def profile(df: DataFrame, config: CurationConfig) -> DataFrame:
         F.count_if(trimmed != value).alias("padded_rows"),
         F.count_if(cleaned != trimmed).alias("special_rows"),
         F.count_if(text.is_empty(cleaned)).alias("empty_rows"),
-        F.count(final).alias("filled_rows"),
-        F.count_if(numeric.fits_float(final)).alias("float_rows"),
-        F.count_if(numeric.fits_integer(final)).alias("integer_rows"),
+        F.count_if(~text.is_empty(cleaned)).alias("filled_rows"),
+        F.count_if(number & numeric.number_is_float(cleaned)).alias("float_rows"),
+        F.count_if(number & numeric.number_is_integer(cleaned)).alias("integer_rows"),
     )
 
 

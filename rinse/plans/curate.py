@@ -194,8 +194,9 @@ def curate(
 ) -> CurationResult:
     """Curate a table. The number of jobs does not depend on its number of columns.
 
-    With an output folder the curated table is written once and read back as the
-    result; without one the result is still to be computed by whoever uses it.
+    With an output folder the curated table is written once, read back as the
+    result, and counted by its file footers. Without one the result is still to be
+    computed by whoever uses it, and duplicates are counted on the key columns.
     ``source`` gives the written files their name.
     """
     spark = df.sparkSession
@@ -204,11 +205,10 @@ def curate(
     plan, counts = learned.plan, learned.counts
     cleaned = planning.apply(df, plan)
     by = keys.dedup_keys(cleaned.columns, plan.primary_key, plan.composite_keys)
-    repetition = keys.measure_repetition(cleaned, by)
-    curated = keys.deduplicate_measured(cleaned, by, repetition, plan.order_by)
+    curated = keys.deduplicate(cleaned, by, plan.order_by)
     written = None
     if output_folder is None:
-        removed = keys.count_removed(cleaned, by, repetition)
+        removed = keys.count_duplicates(cleaned, by).first()["removed"]
     else:
         written = writers.output_path(output_folder, source, now)
         writers.write_parquet(curated, written, overwrite=log_folder is not None)

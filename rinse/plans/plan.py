@@ -125,15 +125,19 @@ def _stripped(value: Column, plan: ColumnPlan) -> Column:
         return temporal.strip_date(value)
     if plan.kind == TIMESTAMP:
         return temporal.strip_timestamp(value)
-    if plan.kind in (TEXT, INTEGER, FLOAT):
-        return text.trim_space(value)
     return value
 
 
 def _cleaned(value: Column, plan: ColumnPlan, extra: str) -> Column:
+    if plan.kind in (TYPED_TIMESTAMP, UNTOUCHED):
+        return value
     if plan.kind in (TEXT, INTEGER, FLOAT):
-        value = text.clean(value, extra, plan.rule)
-    return value if plan.kind in (TYPED_TIMESTAMP, UNTOUCHED) else text.empty_to_null(value)
+        # Outer whitespace goes with the other outer characters.
+        cleaned = text.clean(value, extra, plan.rule)
+        if plan.kind != TEXT:
+            cleaned = F.when(numeric.is_plain(value), value).otherwise(cleaned)
+        value = cleaned
+    return text.empty_to_null(value)
 
 
 def _typed(value: Column, plan: ColumnPlan, whole: CurationPlan, schema: T.StructType) -> Column:
@@ -146,9 +150,9 @@ def _typed(value: Column, plan: ColumnPlan, whole: CurationPlan, schema: T.Struc
         wall = temporal.utc_wall(value) if is_instant else value
         return temporal.shift_zone(wall, whole.input_tz, whole.output_tz)
     if plan.kind == INTEGER:
-        return numeric.to_integer(value)
+        return value.try_cast("int")
     if plan.kind == FLOAT:
-        return numeric.to_float(value)
+        return value.try_cast("float")
     return value
 
 

@@ -36,50 +36,14 @@ def test_survivor_does_not_depend_on_partitioning(spark, skewed, partitions):
     assert rows(keys.deduplicate(df.repartition(partitions), ["k"], ["n"])) == survivors(data)
 
 
-@pytest.mark.parametrize("most", [0, 500, 10**6])
-@pytest.mark.parametrize("collide", [False, True])
-def test_measured_deduplication_takes_every_way(spark, skewed, monkeypatch, most, collide):
-    df, data = skewed
-    monkeypatch.setattr(keys, "MAX_BROADCAST_HASHES", most)
-    if collide:
-        monkeypatch.setattr(keys, "_key_hash", lambda names: F.xxhash64(*names) % 97)
-    repetition = keys.measure_repetition(df, ["k"])
-    result = keys.deduplicate_measured(df, ["k"], repetition, ["n"])
-    plan = result._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in plan) == (repetition.hashes <= most) == (most > 0)
-    assert rows(result) == survivors(data)
-    assert keys.count_removed(df, ["k"], repetition) == len(data) - len(survivors(data))
-
-
-def test_measured_whole_rows(spark, skewed):
-    df, data = skewed
-    doubled = df.union(df.filter("n = 0"))
-    repetition = keys.measure_repetition(doubled, doubled.columns)
-    zeros = sum(n == 0 for _, n, _ in data)
-    assert (repetition.hashes, repetition.rows) == (zeros, 2 * zeros)
-    result = keys.deduplicate_measured(doubled, doubled.columns, repetition)
-    assert rows(result) == sorted(data, key=repr)
-    assert keys.count_removed(doubled, doubled.columns, repetition) == zeros
-
-
-def test_unique_keys_are_not_shuffled(spark):
-    df = spark.range(100).withColumn("v", F.lit("x"))
-    repetition = keys.measure_repetition(df, ["id"])
-    result = keys.deduplicate_measured(df, ["id"], repetition)
-    assert "Exchange" not in result._jdf.queryExecution().executedPlan().toString()
-    assert result.count() == 100
-
-
 def test_keys_of_other_types(spark):
     df = spark.sql(
         "select * from values (0.0d, 1, date'2024-01-01'), (-0.0d, 2, date'2024-01-01'), "
         "(double('nan'), 3, null), (double('nan'), 4, null), (1.5d, 5, null) as t(k, v, d)"
     )
     by = ["k", "d"]
-    plain = keys.deduplicate(df, by)
-    measured = keys.deduplicate_measured(df, by, keys.measure_repetition(df, by))
-    assert sorted(r["v"] for r in plain.collect()) == [1, 3, 5]
-    assert sorted(r["v"] for r in measured.collect()) == [1, 3, 5]
+    assert sorted(r["v"] for r in keys.deduplicate(df, by).collect()) == [1, 3, 5]
+    assert keys.count_duplicates(df, by).first()["removed"] == 2
 
 
 def test_columns_without_order_still_go(spark):

@@ -26,12 +26,12 @@ def test_types(spark):
     }
 
 
-def test_integer_cast(spark):
-    values = ["2147483647", "2147483648", "-2147483648", "-2147483649", "+5", "", "1.5", "x",
-              "0" * 30 + "12", "9" * 40, None]
+def test_casts(spark):
+    values = ["2147483647", "2147483648", "5", "", "1.5", ".5", "2.", ".", "x", "0" * 30 + "12", "9" * 40, None]
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    got = [row[0] for row in df.select(numeric.to_integer(F.col("v"))).collect()]
-    assert got == [2147483647, None, -2147483648, None, 5, None, None, None, 12, None, None]
+    rows = df.select(numeric.to_integer(F.col("v")).alias("i"), numeric.to_float(F.col("v")).alias("f")).collect()
+    assert [row["i"] for row in rows] == [2147483647, None, 5] + [None] * 6 + [12, None, None]
+    assert [row["f"] for row in rows] == [None] * 4 + [1.5, 0.5, 2.0] + [None] * 5
 
 
 def test_fused_profile_agrees_with_single_findings(spark):

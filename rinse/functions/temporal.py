@@ -98,5 +98,9 @@ def iso_timestamp(value: Column, input_tz: str = "GMT", output_tz: str = "UTC")
 
 
 def iso_text(wall: Column) -> Column:
-    """A wall clock at UTC as ISO 8601 text."""
-    return F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """A wall clock at UTC as ISO 8601 text with milliseconds."""
+    # Spelled out because formatting would go through the session's zone.
+    text = _to_millis(wall).cast("string")
+    seconds = F.translate(F.substring(text, 1, 19), " ", "T")
+    millis = F.rpad(F.substring(text, 21, 3), 3, "0")
+    return F.concat(seconds, F.lit("."), millis, F.lit("Z"))

@@ -120,7 +120,7 @@ def test_number_of_jobs_does_not_depend_on_columns(spark, tmp_path):
 
 
 def test_very_wide_table(spark):
-    columns = {f"c{i}": ["1", " a$", "2024-01-02", "1.5"][i % 4] for i in range(400)}
+    columns = {f"c{i}": ["1", " a$", "2024-01-02", "1.5"][i % 4] for i in range(160)}
     df = spark.createDataFrame([tuple(columns.values())] * 3, list(columns))
     result = curate(df)
     assert result.df.count() == 1
@@ -148,6 +148,14 @@ def test_applying_a_plan_starts_no_job(spark, employees):
     assert jobs(spark, lambda: planning.apply(source, plan)) == 0
 
 
+def test_each_rule_is_evaluated_once(spark, employees):
+    plan = curate_data(employees, spark=spark, **CONFIG).plan
+    source = spark.read.option("header", True).csv(employees)
+    physical = planning.apply(source, plan)._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("[^0-9/\\-]") == 1, "stripping a date must not be repeated per format"
+    assert "Exchange" not in physical and "BatchEvalPython" not in physical
+
+
 def test_plan_applies_to_a_stream(spark, employees, tmp_path):
     plan = curate_data(employees, spark=spark, **CONFIG).plan
     source = spark.read.option("header", True).csv(employees)

@@ -137,6 +137,16 @@ def test_iso_checks(spark):
         True, True, False]
 
 
-def test_iso_text(spark):
-    wall = F.lit("2024-01-02 03:04:05.678").cast("timestamp_ntz")
-    assert spark.range(1).select(temporal.iso_text(wall)).first()[0] == "2024-01-02T03:04:05.678Z"
+def test_iso_text_in_a_zone_that_skips_the_hour(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for value, text in (
+            ("2024-03-10 02:30:05.678912", "2024-03-10T02:30:05.678Z"),
+            ("2024-03-10 02:30:05.6", "2024-03-10T02:30:05.600Z"),
+            ("2024-03-10 02:30:00", "2024-03-10T02:30:00.000Z"),
+        ):
+            wall = F.lit(value).cast("timestamp_ntz")
+            assert spark.range(1).select(temporal.iso_text(wall)).first()[0] == text
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

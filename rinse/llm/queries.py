@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rinse.llm import token_orc
+from rinse.llm import language_mixture, token_orc
 from rinse.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +35,23 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     to = shared_folder(spark, "tokens")
     token_orc.write_tokens(table(spark, folder, "documents"), to, public_tokenizer("byte_bpe_50k.json"))
     return token_orc.token_index(spark, to)
+
+
+def id_remainder(divisor: int):
+    """The remainder of the checksum of doc_id as text; a missing id counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
+
+
+@query("op2_language_mixture")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", id_remainder(4) == 2)
+    model = language_mixture.learn_languages(docs.where(~F.col("held_out")))
+    found = language_mixture.predict_languages(docs.select("doc_id", "text", "held_out"), model)
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.col("language.pred").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.col("language.languages").alias("languages"),
+        F.col("language.fits").alias("fits"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinse.llm import language_mixture, token_orc
+from rinse.llm import language_mixture, mixing, token_orc
 from rinse.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,37 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         F.col("language.languages").alias("languages"),
         F.col("language.fits").alias("fits"),
     )
+
+
+MIX_SQL = r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+    md5(coalesce(doc_id::varchar, '')) as key
+  from documents
+), sources as (
+  select source, sum(size)::double as z,
+    [3.0::double, 1.0::double, 2.0::double][(row_number() over (order by source nulls last) - 1) % 3 + 1] as w
+  from sized group by source
+), ordered as (
+  select *, 2.0::double * z / w as room, sum(z) over () * 1.5::double as budget, sum(w) over () as ws from sources
+), levels as (
+  select *, (budget - coalesce(sum(2.0::double * z) over before, 0.0::double)) / (ws - coalesce(sum(w) over before, 0.0::double)) as level
+  from ordered window before as (order by room, source nulls last rows between unbounded preceding and 1 preceding)
+), targets as (
+  select source, z, least(2.0::double * z, coalesce((select level from levels where room >= level order by room limit 1) * w, 2.0::double * z)) as target
+  from levels
+), placed as (
+  select doc_id, size, z::bigint as z, target, floor(target)::bigint as words,
+    sum(size) over (partition by sized.source order by key, size rows between unbounded preceding and current row)::bigint - size as start
+  from sized join targets on sized.source is not distinct from targets.source
+)
+select doc_id, size, z as source_size, target,
+  (greatest(0, least(start + size, words) - least(start, words)) + greatest(0, least(start + size, words - z) - start))::bigint as taken
+from placed
+"""
+
+
+@query("op4_mixing", MIX_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, folder, "documents"))
+    return mixed.documents.select("doc_id", "size", "source_size", "target", "taken")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinse.llm import language_mixture, mixing, token_orc
+from rinse.llm import language_mixture, mixing, spaced_seeds, token_orc
 from rinse.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,45 @@ from placed
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, folder, "documents"))
     return mixed.documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
+SEED_SQL = r"""
+with masks(number, picks, span) as (values
+  (0, [0, 1, 2, 4, 7, 9, 10], 11), (1, [0, 1, 3, 5, 6, 9, 10], 11), (2, [0, 1, 4, 6, 7, 8, 10], 11)
+), docs as (
+  select distinct doc_id, text, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x != '') as w from documents where text is not null
+), items as (
+  select * from (select distinct item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x != '') as v from benchmark where text is not null) where len(v) >= 5
+), every_mask as (
+  select * from masks union all
+  select 100 + n, range(n), n from (select distinct len(v) as n from items) where n < 11
+), doc_windows as (
+  select doc_id, text, unnest(range(len(w))) as pos, w from docs
+), doc_seeds as (
+  select doc_id, text, pos, number, array_to_string(list_transform(picks, lambda p: w[pos + p + 1]), ' ') as seed
+  from doc_windows, every_mask where pos + span <= len(w)
+), item_windows as (
+  select item_id, v, unnest(range(len(v))) as item_at from items
+), item_seeds as (
+  select item_id, v, item_at, number, array_to_string(list_transform(picks, lambda p: v[item_at + p + 1]), ' ') as seed
+  from item_windows, every_mask where item_at + span <= len(v) and (len(v) >= 11 and number < 100 or span = len(v) and number >= 100)
+), hits as (
+  select distinct doc_id, text, item_id, v, pos - item_at as shift from doc_seeds join item_seeds using (number, seed)
+), lined as (
+  select doc_id, text, item_id, shift, least(15, len(v)) as stretch,
+    list_transform(range(greatest(0, -shift), least(len(v), len(w) - shift)), lambda t: (v[t + 1] = w[t + shift + 1])::int) as e
+  from hits join docs using (doc_id, text)
+), judged as (
+  select *, list_max(list_transform(range(greatest(0, len(e) - stretch + 1)), lambda t: list_sum(e[t + 1:t + stretch]))) as agree from lined
+), ranked as (
+  select *, row_number() over (partition by doc_id, text, item_id order by agree desc, shift) as r
+  from judged where agree >= ceil(stretch * 0.8::double)
+)
+select doc_id, item_id, shift::int as start_word, agree::int as agree, stretch::int as stretch from ranked where r = 1
+"""
+
+
+@query("op8_spaced_seeds", SEED_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = spaced_seeds.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "start_word", "agree", "stretch")

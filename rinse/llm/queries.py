@@ -104,7 +104,7 @@ with masks(number, picks, span) as (values
 ), doc_windows as (
   select doc_id, text, unnest(range(len(w))) as pos, w from docs
 ), doc_seeds as (
-  select doc_id, text, pos, number, array_to_string(list_transform(picks, lambda p: w[pos + p + 1]), ' ') as seed
+  select doc_id, text, w, pos, number, array_to_string(list_transform(picks, lambda p: w[pos + p + 1]), ' ') as seed
   from doc_windows, every_mask where pos + span <= len(w)
 ), item_windows as (
   select item_id, v, unnest(range(len(v))) as item_at from items
@@ -112,11 +112,11 @@ with masks(number, picks, span) as (values
   select item_id, v, item_at, number, array_to_string(list_transform(picks, lambda p: v[item_at + p + 1]), ' ') as seed
   from item_windows, every_mask where item_at + span <= len(v) and (len(v) >= 11 and number < 100 or span = len(v) and number >= 100)
 ), hits as (
-  select distinct doc_id, text, item_id, v, pos - item_at as shift from doc_seeds join item_seeds using (number, seed)
+  select distinct doc_id, text, w, item_id, v, pos - item_at as shift from doc_seeds join item_seeds using (number, seed)
 ), lined as (
   select doc_id, text, item_id, shift, least(15, len(v)) as stretch,
     list_transform(range(greatest(0, -shift), least(len(v), len(w) - shift)), lambda t: (v[t + 1] = w[t + shift + 1])::int) as e
-  from hits join docs using (doc_id, text)
+  from hits
 ), judged as (
   select *, list_max(list_transform(range(greatest(0, len(e) - stretch + 1)), lambda t: list_sum(e[t + 1:t + stretch]))) as agree from lined
 ), ranked as (

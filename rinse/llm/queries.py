@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinse.llm import language_mixture, mixing, spaced_seeds, token_orc
+from rinse.llm import chosen_path, language_mixture, mixing, spaced_seeds, token_orc
 from rinse.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,9 @@ select doc_id, item_id, shift::int as start_word, agree::int as agree, stretch::
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = spaced_seeds.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "start_word", "agree", "stretch")
+
+
+@query("op5_chosen_path")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return chosen_path.with_classes(docs, chosen_path.jaccard_classes(docs))

@@ -205,3 +205,26 @@ def mix_sources(
     without = placed.where("size = 0").select(*names, F.lit(0).cast("bigint").alias("taken"), F.lit(0).cast("bigint").alias("passes"))
     documents = read.unionByName(without).drop("k", "start")
     return Mix(documents, schedule.drop("k"), block)
+
+
+def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of `docs` of which the mix reads words, repeated for each pass that does; all columns stay.
+
+    Rows with the same id, source and number of words share what the mix gave them, in the order of their texts.
+    """
+    mixed = mix_sources(docs, **settings).documents
+    same = Window.partitionBy("doc_id", "source", "size").orderBy(F.col("taken").desc(), "passes")
+    given = mixed.select(
+        F.col("doc_id").alias("_doc"), F.col("source").alias("_from"), F.col("size").alias("_words"), "passes", F.row_number().over(same).alias("_at")
+    ).select("_doc", "_from", "_words", "_at", F.col("passes").alias("_passes")).where("_passes > 0")
+    own = F.row_number().over(Window.partitionBy("doc_id", "source", "_size").orderBy("_hash"))
+    rows = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_hash", F.xxhash64("text")).withColumn("_own", own)
+    joined = rows.join(
+        given,
+        F.col("doc_id").eqNullSafe(F.col("_doc"))
+        & F.col("source").cast("string").eqNullSafe(F.col("_from"))
+        & (F.col("_size") == F.col("_words"))
+        & (F.col("_own") == F.col("_at")),
+    )
+    repeated = joined.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_passes"))))
+    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

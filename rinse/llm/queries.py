@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinse.llm import chosen_path, language_mixture, mixing, spaced_seeds, token_orc
+from rinse.llm import chosen_path, language_mixture, mixing, spaced_seeds, token_orc, warc
 from rinse.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,26 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return chosen_path.with_classes(docs, chosen_path.jaccard_classes(docs))
+
+
+WARC_SQL = r"""
+with coded as (
+  select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as hex from pages
+), named as (
+  select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda k:
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(((('0x' || hex[k // 4 * 5 + 1:k // 4 * 5 + 5])::bigint >> (15 - k % 4 * 5)) & 31) + 1)::int]), '') as payload_digest,
+    max(page_id) over (partition by hex) as keeper
+  from coded
+)
+select page_id, payload_bytes, payload_digest,
+  case when page_id = keeper then 'response' else 'revisit' end as record_type,
+  case when page_id != keeper then keeper end as refers_to
+from named
+"""
+
+
+@query("op10_warc", WARC_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    to = shared_folder(spark, "warc")
+    warc.write_archive(table(spark, folder, "pages"), to)
+    return warc.page_captures(spark, to)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinse.llm import chosen_path, language_mixture, mixing, spaced_seeds, token_orc, warc
+from rinse.llm import chosen_path, language_mixture, mixing, pivot_topk, spaced_seeds, token_orc, warc
 from rinse.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,22 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     to = shared_folder(spark, "warc")
     warc.write_archive(table(spark, folder, "pages"), to)
     return warc.page_captures(spark, to)
+
+
+TOPK_SQL = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: floor(x::double * 256)) as w from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, x.vec_id, list_dot_product(q.w, x.w)::bigint as score
+  from whole q join whole x on q.vec_id != x.vec_id and len(q.w) = len(x.w) where q.vec_id % 50 = 0
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@query("op6_pivot_topk", TOPK_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_topk.top_k(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5, scale=256.0)

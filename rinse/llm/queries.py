@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinse.llm import chosen_path, language_mixture, mixing, pivot_topk, spaced_seeds, token_orc, warc
+from rinse.llm import chosen_path, language_mixture, license_rules, line_spread, mixing, pivot_topk, spaced_seeds, token_orc, warc
 from rinse.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,54 @@ select query_id, rank, vec_id, score from ranked where rank <= 5
 @query("op6_pivot_topk", TOPK_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return pivot_topk.top_k(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, k=5, scale=256.0)
+
+
+@query("op9_license_rules")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_rules.license_scan(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    base = F.transform("licenses.base", lambda x: x["label"])
+    more = F.transform("licenses.detections", lambda x: x["label"])
+    places = F.transform("licenses.base", lambda x: x["word"])
+    sure = F.array_max(F.transform("licenses.detections", lambda x: x["priority"]))
+    return found.select(
+        "doc_id",
+        F.col("licenses.n_words").alias("n_words"),
+        F.size("licenses.base").cast("bigint").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(base, more))), ",").alias("labels"),
+        (F.coalesce(sure, F.lit(0)) / F.lit(100.0)).alias("score"),
+        F.col("licenses.detections").alias("detections"),
+    )
+
+
+LINE_SQL = """
+with lines as (
+  select doc_id, text, source, generate_subscripts(string_split(text, chr(10)), 1) as pos, unnest(string_split(text, chr(10))) as line from documents
+), trimmed as (
+  select doc_id, text, source, pos, line, trim(line, ' ' || chr(9) || chr(13)) as own from lines
+), bad as (
+  select own from trimmed where own != '' group by own having count(distinct coalesce('=' || source, '')) >= 5
+), kept as (
+  select distinct text, pos, line, own in (select own from bad) as leaves from trimmed
+), texts as (
+  select text, count(*)::int as n_lines, (count(*) filter (leaves))::int as n_removed,
+    md5(coalesce(string_agg(line, chr(10) order by pos) filter (not leaves), '')) as kept_md5
+  from kept group by text
+)
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, kept_md5
+from documents left join texts using (text)
+"""
+
+
+@query("op7_line_spread", LINE_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    found = line_spread.without_spread_lines(docs)
+    return found.select(
+        "doc_id",
+        F.col("line_spread.n_lines").alias("n_lines"),
+        F.size("line_spread.removed").alias("n_removed"),
+        F.md5(F.col("line_spread.kept").cast("binary")).alias("kept_md5"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinse.llm import chosen_path, language_mixture, license_rules, line_spread, mixing, pivot_topk, spaced_seeds, token_orc, warc
+from rinse.llm import chosen_path, kneser_ney, language_mixture, license_rules, line_spread, mixing, pivot_topk, spaced_seeds, token_orc, warc
 from rinse.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +230,20 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         F.size("line_spread.removed").alias("n_removed"),
         F.md5(F.col("line_spread.kept").cast("binary")).alias("kept_md5"),
     )
+
+
+@query("op3_kneser_ney")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", (id_remainder(5) == 1).alias("held_out"))
+    model = kneser_ney.train(docs.where("not held_out"))
+    found = kneser_ney.score(docs, model)
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.col("lm.n_tokens").alias("n_tokens"),
+        F.col("lm.n_known").alias("n_known"),
+        F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
+        F.col("lm.base_score").alias("base_score"),
+        F.col("lm.score").alias("score"),
+        F.col("lm.perplexity").alias("perplexity"),
+    )

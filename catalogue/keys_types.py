@@ -28,7 +28,7 @@ def _line_text(t: Tables) -> DataFrame:
     def text(name: str) -> Column:
         return F.col(name).cast("string")
 
-    return t.spread("lineitem").select(
+    return t.lineitem.select(
         "l_orderkey",
         "l_linenumber",
         text("l_partkey").alias("part"),
@@ -171,3 +171,12 @@ def dedup_report(t: Tables) -> DataFrame:
     return documents.select(F.lit("documents").alias("source"), "*").unionByName(
         lines.select(F.lit("lineitem").alias("source"), "*")
     )
+
+
+@query("dedup_map", """
+    select user_id, min(event_id) as event_id, arg_min(regexp_extract(props, '[0-9]+')::int, event_id) as k
+    from events group by user_id""")
+def dedup_map(t: Tables) -> DataFrame:
+    rows = t.events.select("user_id", "event_id", F.from_json("props", "map<string,int>").alias("props"))
+    kept = keys.deduplicate(rows, ["user_id"], ["event_id"])
+    return kept.select("user_id", "event_id", F.element_at("props", "k").alias("k"))

@@ -8,8 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinse.sources import readers
-
 
 @dataclass(frozen=True)
 class Tables:
@@ -21,10 +19,6 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for work that costs much more than reading it."""
-        return readers.spread(getattr(self, name))
-
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -49,14 +43,13 @@ def money(name: str) -> Column:
     return F.col(name).cast("decimal(12,2)").cast("string")
 
 
-# The default special-character rule the way a regular-expression engine without
-# lookaround spells it.
-CLEAN = r"^[^a-zA-Z0-9]*|[^a-zA-Z0-9@;:,/\\._ -]|[^a-zA-Z0-9]+$"
-OBEYS = r"^([a-zA-Z0-9]([a-zA-Z0-9@;:,/\\._ -]*[a-zA-Z0-9])?)?$"
+ALNUM = "'0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'"
+# Fixed value: what text may hold between its first and last letter or digit.
+INNER = "@;:,/\\._ -"
 
 
-def sql_clean(value: str) -> str:
-    return f"regexp_replace({value}, '{CLEAN}', '', 'g')"
+def sql_clean(value: str, extra: str = "") -> str:
+    return sql_place(value, "", False, False, False, extra)
 
 
 def sql_trim(value: str) -> str:
@@ -68,12 +61,17 @@ def sql_text(value: str) -> str:
     return f"nullif({sql_clean(sql_trim(value))}, '')"
 
 
-def sql_place(value: str, chars: str, lead: bool, middle: bool, trail: bool) -> str:
-    allowed = CLEAN.split("|")[1]
-    if middle:
-        allowed = allowed[:-1] + chars + "]"
-    core = f"regexp_replace(regexp_replace({value}, '^[^a-zA-Z0-9]*|[^a-zA-Z0-9]*$', '', 'g'), '{allowed}', '', 'g')"
-    front = f"regexp_extract(regexp_extract({value}, '^[^a-zA-Z0-9]*', 0), '[{chars}]', 0)"
-    back = f"regexp_extract(regexp_extract({value}, '[^a-zA-Z0-9]*$', 0), '[{chars}]', 0)"
-    parts = ([front] if lead else []) + [core] + ([back] if trail else [])
-    return f"case when {value} is not null then concat({', '.join(parts)}) end"
+def sql_place(value: str, chars: str, lead: bool, middle: bool, trail: bool, extra: str = "") -> str:
+    """The value's characters in a list: those before the first letter or digit, from there to the last, and after."""
+    inner = f"'{INNER}{extra}{chars if middle else ''}'"
+    first = "coalesce(nullif(list_position(list_transform(c, lambda x: contains({0}, x)), true), 0), {1})"
+    begin = first.format(ALNUM, "len(c) + 1")
+    end = "len(c) + 1 - " + first.format(ALNUM, "len(c) + 1").replace("list_transform(c,", "list_transform(list_reverse(c),")
+    legal = f"list_filter(c[b:e], lambda x: contains({ALNUM}, x) or contains({inner}, x))"
+    one = "coalesce(list_filter({0}, lambda x: contains('%s', x))[1], '')" % chars
+    # Without a letter or digit, all characters are both before and after.
+    front = [one.format("c[1:b - 1]")] if lead else []
+    back = [one.format("c[case when b > len(c) then 1 else e + 1 end:]")] if trail else []
+    parts = ", ".join([*front, f"coalesce(array_to_string({legal}, ''), '')", *back])
+    bound = f"list_transform([string_split({value}, '')], lambda c: list_transform([{begin}], lambda b: list_transform([{end}], lambda e: concat({parts}))[1])[1])[1]"
+    return f"case when {value} is not null then {bound} end"

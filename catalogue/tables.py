@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +18,11 @@ from rinse.sources import readers, writers
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared checkpoint folder; a local one where none is set."""
+    """A new folder in the folder that all executors share: spark.checkpoint.dir, else the default file system's."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(shared or tempfile.mkdtemp(prefix='rinse-')).rstrip('/')}/{uuid.uuid4().hex}"
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(shared or '/tmp/rinse').rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def _messy(t: Tables) -> DataFrame:
@@ -135,7 +136,7 @@ DIRTY_CUSTOMER_SQL = """
 def _dirty_customer(t: Tables) -> DataFrame:
     segment = F.when(F.col("c_mktsegment") == "MACHINERY", "--").otherwise(F.col("c_mktsegment"))
     balance = F.abs("c_acctbal").cast("decimal(12,2)").cast("string")
-    rows = t.spread("customer").select(
+    rows = t.customer.select(
         F.col("c_custkey").cast("string").alias("CUST Key"),
         F.concat(F.lit(" "), "c_name", F.lit("! ")).alias("Name"),
         F.col("c_nationkey").cast("string").alias("Nation (%)"),
@@ -199,7 +200,7 @@ def curate_orders(t: Tables) -> DataFrame:
 
 def _dirty_orders(t: Tables) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "P", "#").otherwise(F.col("o_orderstatus"))
-    return t.spread("orders").select(
+    return t.orders.select(
         *as_text("o_orderkey", "o_custkey"),
         status.alias("o_orderstatus"),
         money("o_totalprice").alias("o_totalprice"),
@@ -214,7 +215,7 @@ def _dirty_orders(t: Tables) -> DataFrame:
            user_id::integer as user_id, event_type, value
     from events""")
 def curate_events(t: Tables) -> DataFrame:
-    rows = t.spread("events").select(
+    rows = t.events.select(
         *as_text("event_id", "user_id"),
         F.date_format("ts", "'at 'yyyy/MM/dd HH:mm:ss.SSSSSS").alias("ts"),
         F.concat(F.lit("<"), "event_type", F.lit(">")).alias("event_type"),

@@ -41,7 +41,7 @@ def _cascade_sql(mixed: str, *formats: str) -> str:
 
 
 def _iso(t: Tables, mixed: Column) -> DataFrame:
-    return t.spread("orders").select(
+    return t.orders.select(
         "o_orderkey", temporal.iso_date(temporal.strip_date(mixed)).alias("o_orderdate")
     )
 
@@ -65,10 +65,17 @@ def date_iso_ymd(t: Tables) -> DataFrame:
     return _iso(t, _mixed("yyyy/MM/dd", "yyyy-dd-MM", "yyyy/dd/MM"))
 
 
-DATE_LIKE = (
-    r"^\d{4}[/-]\d{1,2}[/-]\d{1,2}$|^\d{1,2}[/-]\d{1,2}[/-]\d{4}$|^\d{1,2}[/-]\d{4}[/-]\d{1,2}$"
-)
-TIMESTAMP_LIKE = r"\d{4}[/-]\d{2}[/-]\d{2}[T ]\d{2}:\d{2}:\d{2}"
+def _date_like(value: str) -> str:
+    """Three runs of digits between slashes or dashes: one of four, two of one or two."""
+    runs = f"string_split(replace({value}, '-', '/'), '/')"
+    digits = "len(list_filter(p, lambda x: len(x) > 0 and length(translate(x, '0123456789', '')) = 0)) = 3"
+    sizes = "list_sort(list_transform(p, lambda x: length(x)))"
+    return f"list_transform([{runs}], lambda p: len(p) = 3 and {digits} and {sizes} in ([1, 1, 4], [1, 2, 4], [2, 2, 4]))[1]"
+
+
+def _timestamp_like(value: str) -> str:
+    """A date and a time of day somewhere in the text, by the shape with each digit as 9."""
+    return f"contains(translate({value}, '012345678-T', '999999999/ '), '9999/99/99 99:99:99')"
 
 
 def _detect_sql(*sources: tuple[str, str]) -> str:
@@ -77,8 +84,8 @@ def _detect_sql(*sources: tuple[str, str]) -> str:
 
     return " union all ".join(
         f"""select '{name}' as "column", count({name}) as non_null,
-                   count(*) filter (where regexp_matches({keep(name)}, '{DATE_LIKE}')) as date_rows,
-                   count(*) filter (where regexp_matches({keep(name)}, '{TIMESTAMP_LIKE}')) as timestamp_rows
+                   count(*) filter (where {_date_like(keep(name))}) as date_rows,
+                   count(*) filter (where {_timestamp_like(keep(name))}) as timestamp_rows
             from {table}"""
         for table, name in sources
     )
@@ -103,15 +110,7 @@ def ts_detect(t: Tables) -> DataFrame:
 
 @query("detect_in_documents", _detect_sql(("documents", "text"), ("documents", "source")))
 def detect_in_documents(t: Tables) -> DataFrame:
-    return profile.detect(t.spread("documents").select("text", "source"))
-
-
-@query("detect_sampled", """
-    select 'o_orderdate' as "column", least(count(*), 10000) as non_null,
-           least(count(*), 10000) as date_rows, 0::bigint as timestamp_rows from orders""")
-def detect_sampled(t: Tables) -> DataFrame:
-    dates = F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")
-    return profile.detect(t.orders.select(dates), sample_rows=10000)
+    return profile.detect(t.documents.select("text", "source"))
 
 
 @query("iso_date_check", f"""
@@ -141,11 +140,20 @@ def _stamp() -> Column:
 
 @query("iso_ts_check", rf"""
     select 'ts' as "column", count(s) as non_null,
-           count(*) filter (where s is not null and not regexp_matches(
-               s, '\d{{4}}-\d{{2}}-\d{{2}}[T ]\d{{2}}:\d{{2}}:\d{{2}}')) as rows
-    from (select {STAMP_SQL} as s from events)""")
+           count(*) filter (where s is not null and not (
+               try_strptime(s, ['%Y-%m-%dT%H:%M:%S.%gZ', '%Y-%m-%d %H:%M:%S+02:00']) is not null)) as rows
+    from (select case event_id % 10 when 0 then 'junk ' || strftime(ts, '%Y-%m-%d %H:%M:%S')
+                                    when 1 then strftime(ts, '%Y-%m-%d %H:%M:%S') || ' junk'
+                                    when 2 then '2024-99-99T99:99:99' else {STAMP_SQL} end as s from events)""")
 def iso_ts_check(t: Tables) -> DataFrame:
-    stamps = t.events.select(_stamp().alias("ts"))
+    kind, plain = F.col("event_id") % 10, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    spoiled = (
+        F.when(kind == 0, F.concat(F.lit("junk "), plain))
+        .when(kind == 1, F.concat(plain, F.lit(" junk")))
+        .when(kind == 2, F.lit("2024-99-99T99:99:99"))
+        .otherwise(_stamp())
+    )
+    stamps = t.events.select(spoiled.alias("ts"))
     return profile.count_where(stamps, lambda value: ~temporal.is_iso_timestamp(value))
 
 
@@ -158,7 +166,7 @@ def iso_ts_check(t: Tables) -> DataFrame:
 def ts_shift(t: Tables) -> DataFrame:
     stripped = temporal.strip_timestamp(_stamp())
     shifted = temporal.iso_timestamp(stripped, "America/New_York", "Asia/Tokyo")
-    return t.spread("events").select("event_id", shifted.alias("ts"))
+    return t.events.select("event_id", shifted.alias("ts"))
 
 
 @query("ts_iso_text", """
@@ -168,19 +176,19 @@ def ts_iso_text(t: Tables) -> DataFrame:
 
 
 @query("ts_typed_shift", """
-    select event_id, date_trunc('millisecond', timezone('America/New_York', timezone('UTC', ts))) as ts
+    select * replace (timezone('America/New_York', timezone('UTC', ts)) as ts)
     from events""")
 def ts_typed_shift(t: Tables) -> DataFrame:
     typed = CurationPlan(
-        source_columns=("event_id", "ts"),
-        positions=(0, 1),
-        columns=(
-            ColumnPlan("event_id", "event_id", planning.UNTOUCHED),
-            ColumnPlan("ts", "ts", planning.TYPED_TIMESTAMP),
+        source_columns=tuple(t.events.columns),
+        positions=tuple(range(len(t.events.columns))),
+        columns=tuple(
+            ColumnPlan(name, name, planning.TYPED_TIMESTAMP if name == "ts" else planning.UNTOUCHED)
+            for name in t.events.columns
         ),
         output_tz="America/New_York",
     )
-    return planning.apply(t.events.select("event_id", "ts"), typed)
+    return planning.apply(t.events, typed)
 
 
 @query("typed_date_identity", """

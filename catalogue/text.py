@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogue.registry import OBEYS, Tables, money, query, sql_clean, sql_place, sql_trim
+from catalogue.registry import Tables, money, query, sql_clean, sql_place, sql_trim
 from rinse.functions import text
 from rinse.operators import profile
 from rinse.plans.config import PLACEMENT_MODES, CurationConfig, PlacementRule
@@ -20,24 +20,29 @@ def clean_customer_name(t: Tables) -> DataFrame:
 @query("clean_page_html", f"""
     select page_id, {sql_clean('html')} as html from pages""")
 def clean_page_html(t: Tables) -> DataFrame:
-    return t.spread("pages").select("page_id", text.clean(F.col("html")).alias("html"))
+    return t.pages.select("page_id", text.clean(F.col("html")).alias("html"))
 
 
 @query("clean_document_text", f"""
     select doc_id, {sql_clean('text')} as text from documents""")
 def clean_document_text(t: Tables) -> DataFrame:
-    return t.spread("documents").select("doc_id", text.clean(F.col("text")).alias("text"))
+    return t.documents.select("doc_id", text.clean(F.col("text")).alias("text"))
 
 
-@query("clean_extra_allowed", r"""
-    select p_partkey,
-           regexp_replace('#' || p_brand || '!*', '^[^a-zA-Z0-9]*|[^a-zA-Z0-9@;:,/\\._ #-]|[^a-zA-Z0-9]+$', '', 'g') as p_brand
-    from part""")
+@query("clean_extra_allowed", f"""
+    select p_partkey, {sql_clean("'#' || p_brand || '!*'", "#")} as p_brand from part""")
 def clean_extra_allowed(t: Tables) -> DataFrame:
     decorated = F.concat(F.lit("#"), "p_brand", F.lit("!*"))
     return t.part.select("p_partkey", text.clean(decorated, extra="#").alias("p_brand"))
 
 
+@query("clean_accents", f"""
+    select doc_id, {sql_clean('text', 'éèêçàñóíäöüß')} as text from documents""")
+def clean_accents(t: Tables) -> DataFrame:
+    config = CurationConfig(extra_allowed="éèêçàñóíäöüß")
+    return t.documents.select("doc_id", text.clean(F.col("text"), config.extra_allowed).alias("text"))
+
+
 MARKED_SQL = "'#$' || l_returnflag || '$ ' || l_linenumber || '$#'"
 
 
@@ -57,7 +62,7 @@ def _place(mode: int | None) -> None:
 
     @query(f"place_{mode or 'both'}", sql)
     def place(t: Tables) -> DataFrame:
-        rows = t.spread("lineitem").select("l_orderkey", "l_linenumber", _marked().alias("marked"))
+        rows = t.lineitem.select("l_orderkey", "l_linenumber", _marked().alias("marked"))
         return rows.withColumn("placed", text.clean(F.col("marked"), rule=rule))
 
 
@@ -96,7 +101,7 @@ def placement_violations(t: Tables) -> DataFrame:
     rules = tuple(
         PlacementRule.of("$", [mode, name] if mode else [name]) for mode, name in names.items()
     )
-    rows = t.spread("lineitem").select([_marked().alias(name) for name in names.values()])
+    rows = t.lineitem.select([_marked().alias(name) for name in names.values()])
     return profile.special_characters(rows, CurationConfig(placement=rules))
 
 
@@ -129,7 +134,7 @@ def space_profile(t: Tables) -> DataFrame:
 def _special_sql(*sources: tuple[str, str]) -> str:
     return " union all ".join(
         f"""select '{name}' as "column", count({name}) as non_null,
-                   count(*) filter (where not regexp_matches({name}, '{OBEYS}')) as rows
+                   count(*) filter (where {name} <> {sql_clean(name)}) as rows
             from {table}"""
         for table, name in sources
     )
@@ -141,15 +146,15 @@ def _special_sql(*sources: tuple[str, str]) -> str:
 def special_profile(t: Tables) -> DataFrame:
     config = CurationConfig()
     return (
-        profile.special_characters(t.spread("documents"), config, ["text", "lang"])
-        .unionByName(profile.special_characters(t.spread("pages"), config, ["url", "html"]))
+        profile.special_characters(t.documents, config, ["text", "lang"])
+        .unionByName(profile.special_characters(t.pages, config, ["url", "html"]))
         .unionByName(profile.special_characters(t.part, config, ["p_name", "p_brand"]))
     )
 
 
-@query("special_profile_extra", r"""
+@query("special_profile_extra", f"""
     select 'p_brand' as "column", count(p_brand) as non_null,
-           count(*) filter (where not regexp_matches(p_brand, '^([a-zA-Z0-9]([a-zA-Z0-9@;:,/\\._ #-]*[a-zA-Z0-9])?)?$')) as rows
+           count(*) filter (where p_brand <> {sql_clean("p_brand", "#")}) as rows
     from part""")
 def special_profile_extra(t: Tables) -> DataFrame:
     return profile.special_characters(t.part, CurationConfig(extra_allowed="#"), ["p_brand"])

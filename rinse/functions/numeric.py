@@ -49,5 +49,6 @@ def to_integer(value: Column) -> Column:
 
 
 def to_float(value: Column) -> Column:
-    """A 32-bit float, NULL for text that is none, at no exception each."""
-    return F.when(fits_float(value), value.try_cast("float"))
+    """A 32-bit float, NULL for text that is no number or too large, at no exception each."""
+    number = value.try_cast("float")
+    return F.when(is_number(value) & (number < F.lit(float("inf"))), number)

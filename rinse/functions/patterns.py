@@ -30,10 +30,8 @@ SHORT_INTEGER = r"\A0*[0-9]{1,10}\z"
 
 # What counts as ISO text.
 ISO_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
-ISO_TIMESTAMP = (
-    r"[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}"
-    r"(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2}|)"
-)
+_ISO_TIME = r"[0-9]{2}(?::[0-9]{2}){2}"
+ISO_TIMESTAMP = ISO_DATE.removesuffix(r"\z") + rf"[T ]{_ISO_TIME}(?:\.[0-9]+)?(?:Z|[+-][0-9]{{2}}:[0-9]{{2}})?\z"
 
 # The shapes of date text, with the fields as groups.
 _YEAR = r"(-?[0-9]{4})"

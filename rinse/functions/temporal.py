@@ -23,7 +23,7 @@ def is_iso_date(value: Column) -> Column:
 
 
 def is_iso_timestamp(value: Column) -> Column:
-    return value.rlike(patterns.ISO_TIMESTAMP)
+    return value.rlike(patterns.ISO_TIMESTAMP) & value.try_cast("timestamp").isNotNull()
 
 
 def strip_date(value: Column) -> Column:
@@ -73,6 +73,17 @@ def _to_millis(wall: Column) -> Column:
     return wall - F.make_dt_interval(zero, zero, zero, below)
 
 
+def same_zone(one: str, other: str) -> bool:
+    """Whether two names stand for the same zone: equal, or both for UTC."""
+    utc = {"UTC", "GMT", "Z", "UCT", "ETC/UTC", "ETC/GMT", "ZULU"}
+    return one == other or {one.upper(), other.upper()} <= utc
+
+
+def in_zone(wall: Column, input_tz: str, output_tz: str) -> Column:
+    """A wall clock in one zone to the same moment's wall clock in another, to the microsecond."""
+    return F.convert_timezone(F.lit(input_tz), F.lit(output_tz), wall)
+
+
 def utc_wall(instant: Column) -> Column:
     """The wall clock at UTC, whatever the session's zone."""
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
@@ -81,7 +92,7 @@ def utc_wall(instant: Column) -> Column:
 
 def shift_zone(wall: Column, input_tz: str, output_tz: str) -> Column:
     """A wall clock in one zone to the same moment's wall clock in another, in milliseconds."""
-    return _to_millis(F.convert_timezone(F.lit(input_tz), F.lit(output_tz), wall))
+    return _to_millis(in_zone(wall, input_tz, output_tz))
 
 
 def iso_timestamp(value: Column, input_tz: str = "GMT", output_tz: str = "UTC") -> Column:

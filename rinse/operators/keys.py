@@ -63,6 +63,22 @@ def _orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
+def _ordered(value: Column, data_type: T.DataType) -> Column:
+    """The value in a form that can be compared: maps as sorted entries, variants as their text."""
+    if _orderable(data_type):
+        return value
+    if isinstance(data_type, T.MapType):
+        entry = T.StructType().add("key", data_type.keyType).add("value", data_type.valueType)
+        entries = F.transform(F.map_entries(value), lambda x: _ordered(x, entry))
+        return F.array_sort(entries)
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(value, lambda x: _ordered(x, data_type.elementType))
+    if isinstance(data_type, T.StructType):
+        fields = [_ordered(value.getField(f.name), f.dataType).alias(f.name) for f in data_type]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return F.to_json(value)
+
+
 def dedup_keys(
     columns: Sequence[str], primary_key: str | None = None, composite_keys: Sequence[str] = ()
 ) -> list[str]:
@@ -79,25 +95,36 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
     before the shuffle, so a key that holds a large share of all rows costs no
     more than any other.
     """
+    types = {f.name: f.dataType for f in df.schema}
     rest = [name for name in df.columns if name not in keys]
-    if not rest:
-        return df.distinct()
-    if not all(_orderable(df.schema[name].dataType) for name in rest):
-        return df.dropDuplicates(list(keys))
     rank = [name for name in order_by if name in rest]
     rank += [name for name in rest if name not in rank]
-    first = F.min(F.struct(*[column(name) for name in rank])).alias("survivor")
-    return df.groupBy(*[column(name) for name in keys]).agg(first).select(
-        [
-            column(name) if name in keys else F.col("survivor").getField(name).alias(name)
-            for name in df.columns
-        ]
+    if all(map(_orderable, types.values())):
+        if not rest:
+            return df.distinct()
+        first = F.min(F.struct(*[column(name) for name in rank])).alias("survivor")
+        groups = df.groupBy(*[column(name) for name in keys]).agg(first)
+        return groups.select(
+            [
+                column(name) if name in keys else F.col("survivor").getField(name).alias(name)
+                for name in df.columns
+            ]
+        )
+    # Maps and variants are compared in a form that can be, and come back as they were.
+    row = F.struct(*[column(name).alias(f"c{i}") for i, name in enumerate(df.columns)])
+    order = [_ordered(column(name), types[name]).alias(f"r{i}") for i, name in enumerate(rank)]
+    groups = df.groupBy(*[_ordered(column(n), types[n]).alias(f"k{i}") for i, n in enumerate(keys)])
+    first = F.min_by(row, F.struct(*order) if order else F.lit(0)).alias("survivor")
+    return groups.agg(first).select(
+        [F.col("survivor").getField(f"c{i}").alias(name) for i, name in enumerate(df.columns)]
     )
 
 
 def count_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row counts before and after deduplication, from the key columns alone."""
-    groups = df.groupBy(*[column(name) for name in keys]).agg(F.count(F.lit(1)).alias("copies"))
+    types = {f.name: f.dataType for f in df.schema}
+    by = [_ordered(column(name), types[name]).alias(f"k{i}") for i, name in enumerate(keys)]
+    groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("copies"))
     return groups.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("rows_before"),
         F.count(F.lit(1)).alias("rows_after"),

@@ -28,7 +28,10 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def _pairs(df: DataFrame, columns: Sequence[str], markers: dict[str, Column]) -> DataFrame:
-    """(column, value) for the named text columns and for each marker."""
+    """(column, value) for the named text columns and for each marker; no rows where there are none."""
+    if not columns and not markers:
+        nothing = F.lit("")
+        return df.select(nothing.alias("column"), nothing.alias("value")).where(F.lit(False))
     wide = df.select(
         [column(name) for name in columns]
         + [present.alias(name) for name, present in markers.items()]
@@ -97,14 +100,10 @@ def infer_types(df: DataFrame) -> DataFrame:
     )
 
 
-def detect(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
-    """How many values of each text column look like a date or a timestamp.
-
-    ``sample_rows`` looks at that many rows instead of all.
-    """
-    rows = df if sample_rows is None else df.limit(sample_rows)
+def detect(df: DataFrame) -> DataFrame:
+    """How many values of each text column look like a date or a timestamp."""
     value = F.col("value")
-    return _pairs(rows, text_columns(df), {}).groupBy("column").agg(
+    return _pairs(df, text_columns(df), {}).groupBy("column").agg(
         F.count(value).alias("non_null"),
         F.count_if(temporal.looks_like_date(value)).alias("date_rows"),
         F.count_if(temporal.looks_like_timestamp(value)).alias("timestamp_rows"),

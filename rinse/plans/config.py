@@ -20,9 +20,9 @@ PLACEMENT_MODES = {
 
 def _special(chars: Iterable[str], setting: str) -> str:
     distinct = "".join(dict.fromkeys("".join(chars)))
-    wrong = [char for char in distinct if char.isalnum()]
+    wrong = [char for char in distinct if char.isascii() and char.isalnum()]
     if wrong:
-        raise ValueError(f"{setting}: {wrong} are letters or digits, not special characters")
+        raise ValueError(f"{setting}: {wrong} are letters or digits of ASCII, which are legal anyway")
     return "".join(char for char in distinct if not char.isspace())
 
 

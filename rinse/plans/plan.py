@@ -100,7 +100,9 @@ def make_plan(
         if name in texts:
             kind = text_kind(counts[name], config.min_match_ratio)
         elif isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
-            kind = TYPED_TIMESTAMP
+            # Without a zone to go to, a typed timestamp keeps its value to the microsecond.
+            same = temporal.same_zone(config.input_tz, config.output_tz)
+            kind = UNTOUCHED if same else TYPED_TIMESTAMP
         else:
             kind = UNTOUCHED
         is_text = kind in (TEXT, INTEGER, FLOAT)
@@ -148,11 +150,11 @@ def _typed(value: Column, plan: ColumnPlan, whole: CurationPlan, schema: T.Struc
     if plan.kind == TYPED_TIMESTAMP:
         is_instant = isinstance(schema[plan.name].dataType, T.TimestampType)
         wall = temporal.utc_wall(value) if is_instant else value
-        return temporal.shift_zone(wall, whole.input_tz, whole.output_tz)
+        return temporal.in_zone(wall, whole.input_tz, whole.output_tz)
     if plan.kind == INTEGER:
-        return value.try_cast("int")
+        return numeric.to_integer(value)
     if plan.kind == FLOAT:
-        return value.try_cast("float")
+        return numeric.to_float(value)
     return value
 
 

@@ -44,14 +44,3 @@ def read_csv(
     """A headered CSV with every column as text."""
     uri, settings = resolve(path, aws_s3, azure_blob)
     return spark.read.options(**settings).option("header", True).csv(uri)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over at least as many partitions as there are cores.
-
-    For sources that cannot be split far enough to keep the cluster busy: a file
-    with one row group, a compressed CSV. Tables with splits enough stay as they
-    are, so large ones are never shuffled for it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

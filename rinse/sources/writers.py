@@ -6,6 +6,10 @@ import posixpath
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rinse.functions.expressions import column
 
 # Folders and clock format of the output layout.
 _OUTPUT, _LOG = "output", "logfile"
@@ -32,6 +36,17 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Headered CSV, one file per partition unless a single file is asked for.
 
     A single file is written by a single task; it is meant for small results
-    such as the audit.
+    such as the audit. Values are written as they are, outer spaces included. A line
+    break would split its row on reading, so a value that holds one fails the write.
     """
-    (df.coalesce(1) if single_file else df).write.option("header", True).csv(path)
+    error = F.raise_error(F.lit("a line break can't be kept in a CSV file"))
+    whole = df.select(
+        [
+            F.when(column(f.name).rlike(r"[\r\n]"), error).otherwise(column(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else column(f.name)
+            for f in df.schema
+        ]
+    )
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    (whole.coalesce(1) if single_file else whole).write.options(**options).csv(path)

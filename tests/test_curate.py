@@ -209,9 +209,19 @@ def test_typed_columns(spark):
                to_timestamp('2024-01-02 10:00:00') as ts, 1.5d as x, array('a$') as a, true as b""")
     row = curate(df, CurationConfig(output_tz="Asia/Tokyo", primary_key="d")).df.first()
     assert row["d"] == date(2024, 1, 2)
-    assert row["ntz"] == datetime(2024, 1, 2, 19, 0, 0, 123000)
+    assert row["ntz"] == datetime(2024, 1, 2, 19, 0, 0, 123456)
     assert row["ts"] == datetime(2024, 1, 2, 19)
     assert (row["x"], row["a"], row["b"]) == (1.5, ["a$"], True)
+    same = curate(df, CurationConfig(primary_key="d")).df
+    assert same.select("ntz", "ts").collect() == df.select("ntz", "ts").collect()
+    assert same.schema["ts"].dataType == df.schema["ts"].dataType
+
+
+def test_later_values_that_are_no_numbers_become_null(spark):
+    plan = curate(spark.createDataFrame([("1.5", "1")], "f string, i string")).plan
+    later = [("7d", "7"), ("nan", "x1"), ("1e3", "3.7"), ("Infinity", "99999999999"), ("7", "8")]
+    got = planning.apply(spark.createDataFrame(later, "f string, i string"), plan).collect()
+    assert [tuple(r) for r in got] == [(None, 7), (None, None), (None, None), (None, None), (7.0, 8)]
 
 
 def test_survivor_order(spark):

@@ -51,6 +51,19 @@ def test_columns_without_order_still_go(spark):
     assert keys.deduplicate(df, ["k"]).count() == 1
 
 
+def test_maps_keep_the_survivor_by_order(spark):
+    df = spark.createDataFrame(
+        [(1, 9, {"a": 1}), (1, 1, {"a": 2}), (2, 5, {"a": 1, "b": 2}), (2, 5, {"b": 2, "a": 1}), (2, 6, None)],
+        "k int, o int, m map<string,int>",
+    )
+    assert sorted((r.k, r.o, r.m) for r in keys.deduplicate(df, ["k"], ["o"]).collect()) == [
+        (1, 1, {"a": 2}), (2, 5, {"a": 1, "b": 2})]
+    assert keys.deduplicate(df, df.columns).count() == 4
+    assert keys.count_duplicates(df, df.columns).first()["removed"] == 1
+    nested = df.selectExpr("k", "array(struct(m)) as n", "parse_json(to_json(m)) as v")
+    assert keys.deduplicate(nested, nested.columns).count() == 4
+
+
 def test_map_side_combine_comes_before_the_shuffle(spark, skewed):
     df, _ = skewed
     plan = keys.deduplicate(df, ["k"])._jdf.queryExecution().executedPlan().toString()

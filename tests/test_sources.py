@@ -52,7 +52,10 @@ def test_written_tables_come_back(spark, tmp_path):
     assert sorted(map(tuple, readers.read_csv(spark, str(tmp_path / "c")).collect())) == [("1", "a,b"), ("2", None)]
 
 
-def test_spread(spark):
-    assert readers.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 8
-    wide = spark.range(10).repartition(20)
-    assert readers.spread(wide) is wide
+def test_csv_keeps_outer_spaces_and_refuses_line_breaks(spark, tmp_path):
+    rows = spark.createDataFrame([(" a ", 1), ("b", None)], "s string, n int")
+    writers.write_csv(rows, str(tmp_path / "out"))
+    back = readers.read_csv(spark, str(tmp_path / "out"))
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted([(" a ", "1"), ("b", None)], key=repr)
+    with pytest.raises(Exception, match="line break"):
+        writers.write_csv(spark.createDataFrame([("a\nb",)], "s string"), str(tmp_path / "bad"))

@@ -191,14 +191,19 @@ def curate(
     output_folder: str | None = None,
     log_folder: str | None = None,
     source: str = "table",
+    output_format: str = "parquet",
+    storage: Mapping[str, str] | None = None,
 ) -> CurationResult:
     """Curate a table. The number of jobs does not depend on its number of columns.
 
     With an output folder the curated table is written once, read back as the
     result, and counted by its file footers. Without one the result is still to be
     computed by whoever uses it, and duplicates are counted on the key columns.
-    ``source`` gives the written files their name.
+    ``source`` gives the written files their name, ``output_format`` is parquet or csv, and
+    ``storage`` holds file-system settings for what is written and read back.
     """
+    if output_format not in ("parquet", "csv"):
+        raise ValueError(f"output_format {output_format!r} is neither parquet nor csv")
     spark = df.sparkSession
     now = datetime.now()
     learned = learn(df, config)
@@ -210,9 +215,15 @@ def curate(
     if output_folder is None:
         removed = keys.count_duplicates(cleaned, by).first()["removed"]
     else:
-        written = writers.output_path(output_folder, source, now)
-        writers.write_parquet(curated, written, overwrite=log_folder is not None)
-        curated = spark.read.schema(curated.schema).parquet(written)
+        written = writers.output_path(readers.spark_uri(output_folder), source, now)
+        back = spark.read.schema(curated.schema).options(**(storage or {}))
+        overwrite = log_folder is not None
+        if output_format == "csv":
+            writers.write_csv(curated, written, overwrite=overwrite, settings=storage)
+            curated = back.option("header", True).csv(written)
+        else:
+            writers.write_parquet(curated, written, overwrite, storage)
+            curated = back.parquet(written)
         removed = max(row["rows"] for row in counts.values()) - curated.count()
 
     entries = [
@@ -223,8 +234,8 @@ def curate(
     audit = audit_table(spark, entries, now)
     logged = None
     if log_folder is not None:
-        logged = writers.log_path(log_folder, source, now)
-        writers.write_csv(audit, logged, single_file=True)
+        logged = writers.log_path(readers.spark_uri(log_folder), source, now)
+        writers.write_csv(audit, logged, single_file=True, settings=storage)
     return CurationResult(curated, audit, plan, written, logged)
 
 
@@ -241,11 +252,13 @@ def curate_data(
     aws_s3: Mapping[str, str] | None = None,
     azure_blob: Mapping[str, str] | None = None,
     spark: SparkSession | None = None,
+    output_format: str = "parquet",
 ) -> CurationResult:
-    """Curate the headered CSV at ``path``."""
+    """Curate the headered CSV at ``path``. The storage keys serve the outputs, too."""
     spark = spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     config = CurationConfig.of(
         primary_key, composite_keys, valid_across_allcol, valid_spl_chars, inputtz, outputtz
     )
     df = readers.read_csv(spark, path, aws_s3, azure_blob)
-    return curate(df, config, output_file_path, logging_path, source=path)
+    storage = readers.storage_settings(aws_s3, azure_blob)
+    return curate(df, config, output_file_path, logging_path, path, output_format, storage)

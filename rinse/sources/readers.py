@@ -15,7 +15,8 @@ def resolve(
 ) -> tuple[str, dict[str, str]]:
     """The URI to read and the file-system settings that go with it.
 
-    The settings are options of this one read; nothing is set on the session.
+    ``aws_s3`` holds access_key and secret_key, and may hold session_token and endpoint.
+    The settings are options of single reads and writes; nothing is set on the session.
     """
     if not path:
         raise ValueError("no path given")
@@ -23,11 +24,7 @@ def resolve(
     if scheme in ("http", "https"):
         raise ValueError(f"{path}: copy the file to a shared file system first, then read it there")
     if scheme in ("s3", "s3a"):
-        settings = {
-            "fs.s3a.access.key": aws_s3["access_key"],
-            "fs.s3a.secret.key": aws_s3["secret_key"],
-        } if aws_s3 else {}
-        return "s3a" + path[len(scheme):], settings
+        return "s3a" + path[len(scheme):], s3_settings(aws_s3)
     if azure_blob is not None:
         host = azure_blob["storage_account_name"] + ".blob.core.windows.net"
         uri = f"wasbs://{azure_blob['container_name']}@{host}/{path.lstrip('/')}"
@@ -35,6 +32,32 @@ def resolve(
     return path, {}
 
 
+def s3_settings(aws_s3: Mapping[str, str] | None) -> dict[str, str]:
+    names = {
+        "access_key": "fs.s3a.access.key",
+        "secret_key": "fs.s3a.secret.key",
+        "session_token": "fs.s3a.session.token",
+        "endpoint": "fs.s3a.endpoint",
+    }
+    missing = [key for key in ("access_key", "secret_key") if aws_s3 and key not in aws_s3]
+    if missing:
+        raise ValueError(f"aws_s3 lacks {missing}")
+    return {name: aws_s3[key] for key, name in names.items() if aws_s3 and key in aws_s3}
+
+
+def storage_settings(
+    aws_s3: Mapping[str, str] | None = None, azure_blob: Mapping[str, str] | None = None
+) -> dict[str, str]:
+    """The settings of all storage that keys are given for; what a path does not need is ignored."""
+    azure = resolve("any", azure_blob=azure_blob)[1] if azure_blob else {}
+    return s3_settings(aws_s3) | azure
+
+
+def spark_uri(folder: str) -> str:
+    """The folder under the scheme that Spark knows it by."""
+    return "s3a" + folder[2:] if urlparse(folder).scheme == "s3" else folder
+
+
 def read_csv(
     spark: SparkSession,
     path: str | None,

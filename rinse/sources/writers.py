@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -28,11 +29,20 @@ def log_path(folder: str, source: str, now: datetime) -> str:
     return posixpath.join(folder, _LOG, now.strftime(_CLOCK) + "_" + _stem(source))
 
 
-def write_parquet(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    df.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+def write_parquet(
+    df: DataFrame, path: str, overwrite: bool = False, settings: Mapping[str, str] | None = None
+) -> None:
+    mode = "overwrite" if overwrite else "errorifexists"
+    df.write.mode(mode).options(**(settings or {})).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_csv(
+    df: DataFrame,
+    path: str,
+    single_file: bool = False,
+    overwrite: bool = False,
+    settings: Mapping[str, str] | None = None,
+) -> None:
     """Headered CSV, one file per partition unless a single file is asked for.
 
     A single file is written by a single task; it is meant for small results
@@ -49,4 +59,6 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
         ]
     )
     options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    (whole.coalesce(1) if single_file else whole).write.options(**options).csv(path)
+    mode = "overwrite" if overwrite else "errorifexists"
+    rows = whole.coalesce(1) if single_file else whole
+    rows.write.mode(mode).options(**options, **(settings or {})).csv(path)

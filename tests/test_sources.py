@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 
+from rinse.plans.curate import curate
 from rinse.sources import readers, writers
 
 
@@ -59,3 +60,26 @@ def test_csv_keeps_outer_spaces_and_refuses_line_breaks(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted([(" a ", "1"), ("b", None)], key=repr)
     with pytest.raises(Exception, match="line break"):
         writers.write_csv(spark.createDataFrame([("a\nb",)], "s string"), str(tmp_path / "bad"))
+
+
+def test_keys_serve_outputs():
+    keys = {"access_key": "id", "secret_key": "hidden", "session_token": "t", "endpoint": "https://s3.example"}
+    settings = readers.storage_settings(keys)
+    assert settings == {
+        "fs.s3a.access.key": "id", "fs.s3a.secret.key": "hidden",
+        "fs.s3a.session.token": "t", "fs.s3a.endpoint": "https://s3.example"}
+    assert readers.resolve("s3://b/in.csv", aws_s3=keys) == ("s3a://b/in.csv", settings)
+    assert readers.spark_uri("s3://b/out") == "s3a://b/out" and readers.spark_uri("/out") == "/out"
+    blob = {"storage_account_name": "acc", "storage_account_key": "k", "container_name": "box"}
+    assert readers.storage_settings(None, blob) == {"fs.azure.account.key.acc.blob.core.windows.net": "k"}
+    with pytest.raises(ValueError, match="secret_key"):
+        readers.storage_settings({"access_key": "id"})
+
+
+def test_curated_table_as_csv(spark, tmp_path):
+    df = spark.createDataFrame([("1", " a "), ("1", " a "), ("2", "b!")], "id string, v string")
+    found = curate(df, output_folder=str(tmp_path), output_format="csv")
+    assert sorted(map(tuple, found.df.collect())) == [(1, "a"), (2, "b")]
+    assert "v" in spark.read.option("header", True).csv(found.output_path).columns
+    with pytest.raises(ValueError, match="neither"):
+        curate(df, output_folder=str(tmp_path), output_format="orc")

@@ -126,10 +126,19 @@ def _alike(a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
 def _compared(groups: DataFrame, coordinates: int, least: int) -> DataFrame:
     """Edges that span what is alike in each row's list of members (side, node, signature).
 
-    Members of side 0 meet all members, and those of side 1 only members of side 0.
+    Members of different sides meet, or all where there is one side. A task leaves out edges that join nothing new to
+    what it has joined before, as the same sets meet in many buckets.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict[bytes, bytes] = {}
+
+        def top(x: bytes) -> bytes:
+            while (up := above.get(x, x)) != x:
+                above[x] = above.get(up, up)
+                x = up
+            return x
+
         for batch in batches:
             us: list[bytes] = []
             vs: list[bytes] = []
@@ -142,8 +151,11 @@ def _compared(groups: DataFrame, coordinates: int, least: int) -> DataFrame:
                     links &= side[:, None] != side[None, :]
                 root = _roots(links)
                 for k in np.flatnonzero(root != np.arange(len(root))).tolist():
-                    us.append(nodes[k])
-                    vs.append(nodes[root[k]])
+                    one, two = top(nodes[k]), top(nodes[root[k]])
+                    if one != two:
+                        above[one] = two
+                        us.append(nodes[k])
+                        vs.append(nodes[root[k]])
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
 
     return groups.select("members").mapInArrow(compare, "u binary, v binary")
@@ -188,6 +200,7 @@ def jaccard_classes(
     bucket: int = 64,
     depth: int = 4,
     tile: int = 400,
+    signature_tile: int = 1000,
 ) -> JaccardClasses:
     """Links all texts of `docs` (doc_id, text) with a Jaccard similarity of at least `threshold`."""
 
@@ -225,7 +238,7 @@ def jaccard_classes(
         found = _compared(small.agg(F.collect_list(F.struct("side", "node", "signature")).alias("members")), coordinates, least)
         paths = sized.where(F.col("size") > bucket)
         if level == depth:
-            tiles = _tiled(paths, F.ceil(F.col("size") / tile)).groupBy("path", "a", "b")
+            tiles = _tiled(paths, F.ceil(F.col("size") / signature_tile)).groupBy("path", "a", "b")
             tiles = tiles.agg(F.collect_list(F.struct("side", "node", "signature")).alias("members"))
             found = found.unionByName(_compared(tiles, coordinates, least))
         found = written(found.distinct(), "path-edges")

@@ -68,7 +68,7 @@ def docs_of(spark, rows):
     return spark.createDataFrame([(d, t, "n", 5) for d, t in rows], "doc_id bigint, text string, node string, size int")
 
 
-@pytest.mark.parametrize("settings", [{}, {"bucket": 4, "tile": 30}])
+@pytest.mark.parametrize("settings", [{}, {"bucket": 4, "tile": 30, "signature_tile": 20}])
 def test_every_link_and_class(spark, settings):
     rows = made()
     docs = docs_of(spark, rows)

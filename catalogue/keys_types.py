@@ -180,3 +180,12 @@ def dedup_map(t: Tables) -> DataFrame:
     rows = t.events.select("user_id", "event_id", F.from_json("props", "map<string,int>").alias("props"))
     kept = keys.deduplicate(rows, ["user_id"], ["event_id"])
     return kept.select("user_id", "event_id", F.element_at("props", "k").alias("k"))
+
+
+@query("dedup_whole_row", """
+    select * exclude (props), regexp_extract(props, '[0-9]+')::int as k from events""")
+def dedup_whole_row(t: Tables) -> DataFrame:
+    rows = t.events.withColumn("props", F.from_json("props", "map<string,int>"))
+    copies = rows.unionByName(rows.where("event_id % 3 = 0"))
+    kept = keys.deduplicate(copies, copies.columns)
+    return kept.withColumn("k", F.element_at("props", "k")).drop("props")

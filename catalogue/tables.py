@@ -12,7 +12,7 @@ from rinse.operators import headers, report
 from rinse.operators.profile import profile
 from rinse.plans import plan as planning
 from rinse.plans.config import CurationConfig
-from rinse.plans.curate import curate, learn
+from rinse.plans.curate import curate, curate_data, learn
 from rinse.plans.plan import CurationPlan
 from rinse.sources import readers, writers
 
@@ -108,14 +108,21 @@ def parquet_roundtrip(t: Tables) -> DataFrame:
 
 @query("csv_roundtrip", """
     select o_orderkey::varchar as o_orderkey, o_custkey::varchar as o_custkey,
-           cast(o_totalprice as decimal(12,2))::varchar as o_totalprice, o_orderpriority
+           ' ' || o_orderstatus || ' ' as o_orderstatus,
+           cast(o_totalprice as decimal(12,2))::varchar as o_totalprice,
+           strftime(o_orderdate, '%Y-%m-%d') as o_orderdate, o_orderpriority || ', "so"' as o_orderpriority
     from orders""")
 def csv_roundtrip(t: Tables) -> DataFrame:
     path = scratch_folder(t.spark)
-    rows = t.orders.withColumn("o_totalprice", money("o_totalprice"))
-    writers.write_csv(
-        rows.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"), path
+    rows = t.orders.withColumns(
+        {
+            "o_totalprice": money("o_totalprice"),
+            "o_orderstatus": F.concat(F.lit(" "), "o_orderstatus", F.lit(" ")),
+            "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd"),
+            "o_orderpriority": F.concat("o_orderpriority", F.lit(', "so"')),
+        }
     )
+    writers.write_csv(rows, path)
     return readers.read_csv(t.spark, path)
 
 
@@ -173,7 +180,50 @@ def curate_customer_csv(t: Tables) -> DataFrame:
     """The same table by way of CSV files, with the configuration of the path-based call."""
     path = scratch_folder(t.spark)
     writers.write_csv(_dirty_customer(t), path)
-    return curate(readers.read_csv(t.spark, path), CUSTOMER_CONFIG).df
+    return curate_data(
+        path,
+        primary_key="CUST Key",
+        composite_keys=["Name", "Segment"],
+        valid_spl_chars={"$": [1, "Balance"]},
+        inputtz="GMT",
+        outputtz="America/New_York",
+        spark=t.spark,
+    ).df
+
+
+@query("audit_written", """
+    select "Cleansing Part", "Message" from (values
+        ('Data', 'column ''balance'': misplaced characters removed in ' || (select count(*) from customer) || ' rows'),
+        ('Data', 'primary key ''id'': valid'), ('Data', 'composite key: not given'), ('Data', '0 duplicates removed'),
+        ('Header', 'Header: no cleansing required')
+    ) as v("Cleansing Part", "Message")""")
+def audit_written(t: Tables) -> DataFrame:
+    """The audit as the CSV that curation writes."""
+    balance = F.concat(F.lit("$x"), money("c_acctbal"), F.lit("x$")).alias("balance")
+    rows = t.customer.select(F.col("c_custkey").alias("id"), balance)
+    config = CurationConfig.of(primary_key="id", valid_spl_chars={"$": [1, "balance"]})
+    log = curate(rows, config, log_folder=scratch_folder(t.spark)).log_path
+    return readers.read_csv(t.spark, log).select("Cleansing Part", "Message")
+
+
+@query("apply_saved_plan_later", """
+    select l_orderkey, l_linenumber,
+           case when l_linenumber <= 3 then l_partkey::integer end as part,
+           case when l_linenumber <= 3 then 0.5::double end as share
+    from lineitem""")
+def apply_saved_plan_later(t: Tables) -> DataFrame:
+    """A plan learned from numbers, applied to a batch that also holds what is no number."""
+    number = F.col("l_linenumber")
+    part = F.col("l_partkey").cast("string")
+    good = t.lineitem.select("l_orderkey", "l_linenumber", part.alias("part"), F.lit("1.5").alias("share"))
+    saved = learn(good, CurationConfig()).plan
+    later = good.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(number <= 3, F.col("part")).when(number == 4, "99999999999").otherwise("x1").alias("part"),
+        F.when(number <= 3, "0.5").when(number == 4, "7d").when(number == 5, "nan").otherwise("1e3").alias("share"),
+    )
+    return planning.apply(later, saved).withColumn("share", F.col("share").cast("double"))
 
 
 @query("apply_saved_plan", f"""

@@ -4,7 +4,7 @@ A capture is a request, a response (or a revisit, which leaves out a payload kep
 the request and the metadata name the response in WARC-Concurrent-To. Reading joins the three on that identifier into
 one nested row per capture.
 
-Files are written by Spark's text writer with the record's end as line separator, so they may lie in any store, and
+Files are written zipped by Spark's text writer with the record's end as line separator, so they may lie in any store, and
 tasks that are repeated replace what they left. Of captures with equal payloads of at least `least_bytes` the one with
 the largest page_id (of equal ids, the last row) is the response, and the others revisit it. Null html is an empty
 payload, null or blank urls are `urn:page:` and the number of the row; line breaks and spaces in urls are percent-coded.
@@ -14,6 +14,7 @@ Null page_ids are the smallest and come back as null. Extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -108,11 +109,13 @@ def write_archive(
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.string())], names=["value"])
 
     made = joined.mapInArrow(records, "value string")
-    made.write.option("lineSep", _END).option("maxRecordsPerFile", records_per_file).text(folder)
+    options = {"lineSep": _END, "maxRecordsPerFile": records_per_file, "compression": "gzip"}
+    made.write.options(**options).text(folder)
 
 
 def parse_records(content: bytes) -> Iterator[dict]:
-    """The records of a WARC file. Lengths come from the headers, so payloads may hold anything."""
+    """The records of a WARC file, zipped or not. Lengths come from the headers, so payloads may hold anything."""
+    content = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
     at = 0
     while (at := _skip_breaks(content, at)) < len(content):
         head_end = content.index(b"\r\n\r\n", at)

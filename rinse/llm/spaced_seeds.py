@@ -6,8 +6,12 @@ in a join on the hash. Each hit names a document, an item and the shift between
 words are compared one by one, and the overlap counts where some stretch of `stretch` words (the whole item where it
 is shorter) agrees in at least `identity` of its words.
 
+With the given stretch and identity the masks lose nothing: wherever the unequal words of a stretch fall, one of them
+looks at equal words only, for 3 unequal words of 15 and for 2 of 11 to 14. For another stretch or identity the masks
+have to be chosen anew.
+
 Words are stretches without space or the characters 9 to 13, in lower case. Items of fewer than `fewest` words are
-no passages and never match; items shorter than the masks have one seed, of all their words. Null and empty texts
+no passages and never match; items of fewer than 11 have one seed, of all their words. Null and empty texts
 have no words. Rows with the same id and text count once. Null ids are kept as ids of their own.
 
 Everything is a DataFrame operation. The benchmark's seeds are counted and broadcast in blocks of at most
@@ -23,9 +27,9 @@ from pyspark.sql import functions as F
 
 from rinse.llm.shared import written
 
-#: Which of 11 consecutive words a seed looks at.
-MASKS = ("11101001011", "11010110011", "11001011101")
-SPAN = 11
+#: Which of 8 consecutive words a seed looks at, for items of at least LONG words.
+MASKS = ("111011", "11001011", "10100111")
+LONG = 11
 
 
 def word_hashes(text: Column) -> Column:
@@ -67,14 +71,13 @@ def overlaps(
     doc_id, text_hash, item_id, start_word (where the item's first word falls in the document, for the shift that
     agrees best), agree (words that agree in its best stretch), stretch (words of a stretch).
     """
-    span = max(len(m) for m in masks)
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words")).where(F.size("words") >= fewest)
     items = written(items.distinct(), "benchmark-words")
-    # Whole-item masks for the lengths below the span that occur; at most `span` of them.
-    short = sorted(r.n for r in items.select(F.size("words").alias("n")).where(F.col("n") < span).distinct().collect())
+    # Whole-item masks for the lengths below LONG that occur.
+    short = sorted(r.n for r in items.select(F.size("words").alias("n")).where(F.col("n") < LONG).distinct().collect())
     every_mask = [*masks, *["1" * n for n in short]]
     seeds = _seeds(items, every_mask).where("seed != 0").withColumnsRenamed({"words": "item_words", "at": "item_at"})
-    own = (F.size("item_words") >= span) & (F.col("mask") < len(masks))
+    own = (F.size("item_words") >= LONG) & (F.col("mask") < len(masks))
     for k, n in enumerate(short):
         own = own | ((F.size("item_words") == n) & (F.col("mask") == len(masks) + k))
     seeds = written(seeds.where(own).drop("mask"), "benchmark-seeds")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
 from rinse.llm import spaced_seeds
 from tests.llm.sqlcheck import same_as_sql
@@ -66,6 +67,43 @@ def test_planted_passages(spark):
             assert {i for doc, i in found if doc == d and i in long_enough} >= want
 
 
+def substituted(lengths):
+    """Items of these lengths, and documents with every placement of the allowed unequal words, and of one more, in 15 words at most."""
+    items, docs = [], []
+    for item, n in enumerate(lengths):
+        words, short = [f"q{item}_{k}" for k in range(n)], min(n, 15)
+        items.append((item, " ".join(words)))
+        allowed = short - -(-short * 4 // 5)
+        for places in [*combinations(range(short), allowed), *combinations(range(short), allowed + 1)]:
+            text = ["y", *["z" if k in places else w for k, w in enumerate(words[:short])], "y"]
+            docs.append((len(docs), " ".join(text)))
+    return items, docs
+
+
+def missed(spark, items, docs):
+    """Pairs that only one of overlaps and the comparison without seeds finds."""
+    words = {i: t.split() for i, t in items}
+    own = {t.split("_")[0]: i for i, t in items}
+    want = set()
+    for d, t in docs:
+        item = next(own[w.split("_")[0]] for w in t.split() if w.startswith("q"))
+        if plain_overlap(words[item], t.split()):
+            want.add((d, item))
+    found = spaced_seeds.overlaps(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string"))
+    return want, {(r.doc_id, r.item_id) for r in found.collect()} ^ want
+
+
+def test_no_allowed_substitution_is_lost(spark):
+    want, other = missed(spark, *substituted([11, 12, 13, 14, 15]))
+    assert len(want) >= 55 + 66 + 78 + 91 + 455 and not other
+
+
+def test_every_fourth_word_replaced(spark):
+    _, items = tables(spark)
+    doc = spark.createDataFrame([(600, inserted(spoiled(ITEMS[0][1], 4)))], "doc_id int, text string")
+    assert [(r.item_id, r.agree) for r in spaced_seeds.overlaps(doc, items).collect()] == [(0, 12)]
+
+
 def test_blocks_give_the_same(spark):
     docs, items = tables(spark)
     rows = [sorted(spaced_seeds.overlaps(docs, items, block_seeds=n).collect(), key=repr) for n in (100, 10**6)]

@@ -7,12 +7,12 @@ words are compared one by one, and the overlap counts where some stretch of `str
 is shorter) agrees in at least `identity` of its words.
 
 With the given stretch and identity the masks lose nothing: wherever the unequal words of a stretch fall, one of them
-looks at equal words only, for 3 unequal words of 15 and for 2 of 11 to 14. For another stretch or identity the masks
-have to be chosen anew.
+looks at equal words only, for 3 unequal words of 15, for 2 of 10 to 14, and for 1 of 5 to 9, whose masks are shorter.
+For another stretch or identity the masks have to be chosen anew.
 
 Words are stretches without space or the characters 9 to 13, in lower case. Items of fewer than `fewest` words are
-no passages and never match; items of fewer than 11 have one seed, of all their words. Null and empty texts
-have no words. Rows with the same id and text count once. Null ids are kept as ids of their own.
+no passages and never match, not even exactly. Should `fewest` be less than 5, shorter items have one seed, of all
+their words, as the identity allows no unequal word there. Null and empty texts have no words. Rows with the same id and text count once. Null ids are kept as ids of their own.
 
 Everything is a DataFrame operation. The benchmark's seeds are counted and broadcast in blocks of at most
 `block_seeds`, so a larger benchmark takes more passes over the documents and not more memory.
@@ -29,7 +29,10 @@ from rinse.llm.shared import written
 
 #: Which of 8 consecutive words a seed looks at, for items of at least LONG words.
 MASKS = ("111011", "11001011", "10100111")
-LONG = 11
+LONG = 10
+#: The same for items of SHORT to LONG - 1 words.
+SHORT_MASKS = ("1111", "11101", "11011", "10111")
+SHORT = 5
 
 
 def word_hashes(text: Column) -> Column:
@@ -61,6 +64,7 @@ def overlaps(
     benchmark: DataFrame,
     *,
     masks: tuple[str, ...] = MASKS,
+    short_masks: tuple[str, ...] = SHORT_MASKS,
     fewest: int = 5,
     stretch: int = 15,
     identity: float = 0.8,
@@ -73,13 +77,21 @@ def overlaps(
     """
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words")).where(F.size("words") >= fewest)
     items = written(items.distinct(), "benchmark-words")
-    # Whole-item masks for the lengths below LONG that occur.
-    short = sorted(r.n for r in items.select(F.size("words").alias("n")).where(F.col("n") < LONG).distinct().collect())
-    every_mask = [*masks, *["1" * n for n in short]]
+    # The masks of the lengths below LONG that occur: short_masks together, and whole-item masks below SHORT.
+    lengths = sorted(r.n for r in items.select(F.size("words").alias("n")).where(F.col("n") < LONG).distinct().collect())
+    every_mask, owners = list(masks), [(LONG, None, 0, len(masks))]
+    if any(n >= SHORT for n in lengths):
+        owners.append((SHORT, LONG, len(every_mask), len(every_mask) + len(short_masks)))
+        every_mask += short_masks
+    for n in lengths:
+        if n < SHORT:
+            owners.append((n, n + 1, len(every_mask), len(every_mask) + 1))
+            every_mask.append("1" * n)
     seeds = _seeds(items, every_mask).where("seed != 0").withColumnsRenamed({"words": "item_words", "at": "item_at"})
-    own = (F.size("item_words") >= LONG) & (F.col("mask") < len(masks))
-    for k, n in enumerate(short):
-        own = own | ((F.size("item_words") == n) & (F.col("mask") == len(masks) + k))
+    own = F.lit(False)
+    for least, below, first, end in owners:
+        fits = (F.size("item_words") >= least) & (F.col("mask") >= first) & (F.col("mask") < end)
+        own = own | (fits if below is None else fits & (F.size("item_words") < below))
     seeds = written(seeds.where(own).drop("mask"), "benchmark-seeds")
     blocks = -(-seeds.count() // block_seeds)
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("words"))

@@ -98,6 +98,11 @@ def test_no_allowed_substitution_is_lost(spark):
     assert len(want) >= 55 + 66 + 78 + 91 + 455 and not other
 
 
+def test_no_allowed_substitution_is_lost_in_short_items(spark):
+    want, other = missed(spark, *substituted([5, 6, 7, 8, 9, 10]))
+    assert len(want) >= 5 + 6 + 7 + 8 + 9 + 45 and not other
+
+
 def test_every_fourth_word_replaced(spark):
     _, items = tables(spark)
     doc = spark.createDataFrame([(600, inserted(spoiled(ITEMS[0][1], 4)))], "doc_id int, text string")

@@ -9,7 +9,8 @@ part, so that a task that reads any stripe knows where its ids stand. ORC encode
 a row index and Bloom filters of doc_id for each group of rows; as the rows are sorted, a search for one document
 skips nearly all files, stripes and groups by their statistics.
 
-Null and empty texts are documents of the end id alone. Null doc_ids stand first. Repeated doc_ids are kept, and
+Texts are encoded as the tokenizer does by default, with nothing put around them: the string of an added token, such
+as `<|endoftext|>`, becomes that token's id. Null and empty texts are documents of the end id alone. Null doc_ids stand first. Repeated doc_ids are kept, and
 stand next to each other in the order of their texts. Ids need not fit 31 bits to be kept: they are stored as they
 are, as 32-bit patterns.
 """
@@ -85,7 +86,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Their strings in a text become their single ids, as the tokenizer does by default.
+        self.added = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_units = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in repr(
             self.tokenizer.pre_tokenizer
         )
@@ -98,6 +100,17 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _with_added(self, raw: bytes, offsets: np.ndarray) -> set[int]:
+        """Rows that hold the string of an added token; also rows whose end makes one with the next row."""
+        rows = set()
+        for content in self.added:
+            at = raw.find(content)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, side="right")) - 1
+                rows.add(row)
+                at = raw.find(content, int(offsets[row + 1]))
+        return rows
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of these rows, and how many each row has."""
         rows = len(offsets) - 1
@@ -107,6 +120,7 @@ class Encoder:
             flat = np.array([i for ids in found for i in ids], dtype=np.int64).astype(np.int32)
             return flat, np.array([len(ids) for ids in found], dtype=np.int64)
         starts, foreign = unit_starts(data, offsets)
+        foreign[list(self._with_added(raw, offsets))] = True
         for row in np.flatnonzero(foreign):  # such a row is one unit
             starts[offsets[row] : offsets[row + 1]] = False
             starts[offsets[row]] = True

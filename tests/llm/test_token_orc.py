@@ -40,6 +40,24 @@ def test_units_give_the_tokenizers_ids():
     assert by_units(texts) == [encode(x) for x in texts]
 
 
+def test_added_tokens_are_single_ids():
+    rng, untouched = random.Random(6), Tokenizer.from_file(PATH)
+    pieces = ["<|endoftext|>", "<|endo", "ftext|>", "<|", "a", " b", "1", " ", "\n", "'s", "é", "日"]
+    texts = ODD + ["<|endo", "ftext|>", "", "<|endoftext|>"]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 8))) for _ in range(3000)]
+    assert by_units(texts) == [untouched.encode(x, add_special_tokens=False).ids for x in texts]
+    assert by_units(["a<|endoftext|> b"])[0].count(50256) == 1
+
+
+def test_added_tokens_are_stored(spark, tmp_path):
+    untouched = Tokenizer.from_file(PATH)
+    texts = ["plain", "<|endoftext|> a<|endoftext|>", None, "<|endo ftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    token_orc.write_tokens(docs, str(tmp_path / "out"), PATH, parts=2)
+    stored = {r.doc_id: r.ids for r in token_orc.read_tokens(spark, str(tmp_path / "out")).collect()}
+    assert stored == {i: [*untouched.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+
+
 def test_round_trip(spark, tmp_path):
     encode = plain()
     rows = [(i * 7 % 31, text) for i, text in enumerate(ODD)] + [(3, None), (3, "same"), (3, "same"), (None, "lost"), (40, "long text " * 50_000)]

@@ -116,7 +116,7 @@ def mixture(
     return share, np.add.reduceat(weights * fit, starts)
 
 
-def _infer(model: LanguageModel, data: np.ndarray, offsets: np.ndarray, most: int, rounds: int, penalty: float):
+def _infer(model: LanguageModel, data: np.ndarray, offsets: np.ndarray, most: int | None, rounds: int, penalty: float):
     """For each row of text: proportions (rows x languages), and whether they fit better than noise."""
     rows, n_lang = len(offsets) - 1, len(model.languages)
     shares, fits = np.zeros((rows, n_lang)), np.zeros(rows, dtype=bool)
@@ -148,7 +148,7 @@ def _infer(model: LanguageModel, data: np.ndarray, offsets: np.ndarray, most: in
     if n_lang > 1:
         full, bound = mixture(weights, chances, doc, starts, rounds)
         rank = np.argsort(-full, axis=1, kind="stable")
-        for size in range(2, min(most, n_lang) + 1):
+        for size in range(2, (n_lang if most is None else min(most, n_lang)) + 1):
             # No set of this size or more can win where the best fit of all languages does not pay for it.
             open_docs = np.flatnonzero(bound - cost * (size - 1) > best)
             if not len(open_docs):
@@ -174,13 +174,14 @@ def predict_languages(
     *,
     into: str = "language",
     text_column: str = "text",
-    most_languages: int = 4,
+    most_languages: int | None = None,
     rounds: int = 15,
     penalty: float = 3.0,
 ) -> DataFrame:
     """The rows with a struct column `into`: pred, score (the proportion of pred), fits, and languages with their shares.
 
-    All columns are kept; a column called `into` would be replaced.
+    All columns are kept; a column called `into` would be replaced. A document may mix all learned languages, or at most
+    `most_languages` where that is given.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)

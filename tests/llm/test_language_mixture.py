@@ -76,6 +76,18 @@ def test_shares_of_mixed_documents(spark):
     assert all(r.language.fits for r in found)
 
 
+def test_six_languages_in_one_document(spark):
+    rng = random.Random(8)
+    letters = ["abc", "defg", "hijk", "lmno", "pqrs", "tuvw"]
+    words = [["".join(rng.choice(own) for _ in range(5)) for _ in range(12)] for own in letters]
+    rows = [(some(w, 40, rng), f"l{k}") for k, w in enumerate(words) for _ in range(10)]
+    model = lm.learn_languages(spark.createDataFrame(rows, "text string, lang string"))
+    docs = spark.createDataFrame([(" ".join(some(w, 60, rng) for w in words),)], "text string")
+    found = lm.predict_languages(docs, model).first().language
+    assert sorted(x.lang for x in found.languages) == [f"l{k}" for k in range(6)]
+    assert all(abs(x.share - 1 / 6) < 0.05 for x in found.languages)
+
+
 def test_odd_rows(spark):
     rows = [(1, None, 5), (2, "", 5), (3, "12 !? —", 5), (None, "the house", None), (4, "the " * 200_000, 1), (4, "das haus", 1), (4, "das haus", 1)]
     docs = spark.createDataFrame([(d, t, n, "x") for d, t, n in rows], "doc_id int, text string, language int, score string")

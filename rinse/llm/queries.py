@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinse.llm import chosen_path, kneser_ney, language_mixture, license_rules, line_spread, mixing, pivot_topk, spaced_seeds, token_orc, warc
+from rinse.llm import (
+    chosen_path,
+    hard_negatives,
+    kneser_ney,
+    language_mixture,
+    license_rules,
+    line_spread,
+    mixing,
+    pivot_topk,
+    shard_graphs,
+    spaced_seeds,
+    token_orc,
+    vector_codes,
+    warc,
+)
 from rinse.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -247,3 +261,87 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
         F.col("lm.score").alias("score"),
         F.col("lm.perplexity").alias("perplexity"),
     )
+
+
+NEGATIVES_SQL = """
+with whole as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(x::double * 256)) as w
+  from embeddings
+  where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, x.vec_id, a.label = x.label as same, list_dot_product(a.w, x.w)::bigint as score
+  from whole a join whole x on a.vec_id != x.vec_id and len(a.w) = len(x.w) where a.vec_id % 50 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score,
+    row_number() over (partition by anchor_id order by score desc, vec_id) as place
+  from scored where same
+), windows as (
+  select p.anchor_id, p.positive_id, p.positive_score, n.vec_id as negative_id, n.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id)::int as rank
+  from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+    and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
+  where p.place <= 5
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from windows where rank <= 3
+"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.pmod("vec_id", F.lit(50)) == 0, positives=5, negatives=3, low=50, high=95, scale=256.0)
+
+
+@query("op12_shard_graphs")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_graphs.nearest(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20)
+
+
+def _codes_sql(rounds: int = 2) -> str:
+    """Each round assigns, then moves the entries."""
+    assigned = """
+    {name} as (
+      select r, p, min([d, e]) as best from (
+        select r, parts.p, e, list_sum(list_transform(list_zip(parts.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+        from parts join {books} b on parts.p = b.p
+      ) group by r, p
+    )"""
+    moved = """
+    sums{k} as (
+      select p, e, j, sum(c)::bigint as s, count(*) as n from (
+        select parts.p, best[2] as e, generate_subscripts(v, 1) as j, unnest(v) as c from parts join near{k} using (r, p)
+      ) group by p, e, j
+    ), books{next} as (
+      select p, e, coalesce(m.v, old.v) as v from books{k} old left join (
+        select p, e, list((s - ((s % n) + n) % n) // n order by j) as v from sums{k} group by p, e
+      ) m using (p, e)
+    )"""
+    steps = []
+    for k in range(rounds):
+        steps += [assigned.format(name=f"near{k}", books=f"books{k}"), moved.format(k=k, next=k + 1)]
+    return f"""
+    with kept as (
+      select vec_id, label, row_number() over (order by vec_id, embedding) as r,
+        list_transform(embedding, lambda x: floor(x::double * 256)::bigint) as w
+      from embeddings
+      where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), parts as (
+      select r, p, w[p * (len(w) // 16) + 1:(p + 1) * (len(w) // 16)] as v from kept, (select unnest(range(16)) as p)
+    ), books0 as (
+      select p, r - 1 as e, v from parts where r <= 64
+    ), {",".join(steps)}, {assigned.format(name="final", books=f"books{rounds}")}, coded as (
+      select vec_id, label, string_agg(printf('%02x', best[2]), '' order by p) as code, sum(best[1])::bigint as error
+      from final join kept using (r) group by r, vec_id, label
+    )
+    select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, (
+      select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) from books{rounds}
+    ) as codebooks_sha256
+    from coded"""
+
+
+@query("op13_vector_codes", _codes_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    coded, checksum = vector_codes.vector_codes(table(spark, folder, "embeddings"), parts=16, entries=64, rounds=2, scale=256.0)
+    return coded.withColumn("codebooks_sha256", F.lit(checksum))

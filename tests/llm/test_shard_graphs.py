@@ -30,7 +30,7 @@ def plain(rows, k):
     for a, (q, v) in enumerate(kept):
         if q is not None and q % 20 == 0:
             scored = [(-sum(x * y for x, y in zip(v, w)), i is None, i) for b, (i, w) in enumerate(kept) if a != b and len(v) == len(w)]
-            out[q].append([(round(-s, 9), i) for s, _, i in sorted(scored, key=lambda r: (round(r[0], 9), r[1], r[2] or 0))[:k]])
+            out[q].append([(round(-s, 9), i) for s, _, i in sorted(scored, key=lambda r: (r[0], r[1], r[2] or 0))[:k]])
     return out
 
 

@@ -90,4 +90,4 @@ def test_graph_reaches_every_node():
         while edge:
             edge = [int(n) for n in set(graph[edge].ravel().tolist()) - reached if n >= 0]
             reached |= set(edge)
-        assert len(reached) >= 0.99 * len(graph)
+        assert len(reached) >= (0.99 if graph is layers[0] else 0.9) * len(graph)

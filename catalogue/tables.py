@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,14 +13,7 @@ from rinse.plans.config import CurationConfig
 from rinse.plans.curate import curate, curate_data, learn
 from rinse.plans.plan import CurationPlan
 from rinse.sources import readers, writers
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder in the folder that all executors share: spark.checkpoint.dir, else the default file system's."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{(shared or '/tmp/rinse').rstrip('/')}/{uuid.uuid4().hex}"
+from rinse.sources.scratch import scratch_folder
 
 
 def _messy(t: Tables) -> DataFrame:
@@ -101,7 +92,7 @@ def inspect_column(t: Tables) -> DataFrame:
 
 @query("parquet_roundtrip", "select * from orders")
 def parquet_roundtrip(t: Tables) -> DataFrame:
-    path = scratch_folder(t.spark)
+    path = scratch_folder(t.spark, "catalogue")
     writers.write_parquet(t.orders, path)
     return t.spark.read.parquet(path)
 
@@ -113,7 +104,7 @@ def parquet_roundtrip(t: Tables) -> DataFrame:
            strftime(o_orderdate, '%Y-%m-%d') as o_orderdate, o_orderpriority || ', "so"' as o_orderpriority
     from orders""")
 def csv_roundtrip(t: Tables) -> DataFrame:
-    path = scratch_folder(t.spark)
+    path = scratch_folder(t.spark, "catalogue")
     rows = t.orders.withColumns(
         {
             "o_totalprice": money("o_totalprice"),
@@ -172,13 +163,13 @@ def curate_customer(t: Tables) -> DataFrame:
 
 @query("curate_customer_written", CURATED_CUSTOMER_SQL)
 def curate_customer_written(t: Tables) -> DataFrame:
-    return curate(_dirty_customer(t), CUSTOMER_CONFIG, output_folder=scratch_folder(t.spark)).df
+    return curate(_dirty_customer(t), CUSTOMER_CONFIG, output_folder=scratch_folder(t.spark, "catalogue")).df
 
 
 @query("curate_customer_csv", CURATED_CUSTOMER_SQL)
 def curate_customer_csv(t: Tables) -> DataFrame:
     """The same table by way of CSV files, with the configuration of the path-based call."""
-    path = scratch_folder(t.spark)
+    path = scratch_folder(t.spark, "catalogue")
     writers.write_csv(_dirty_customer(t), path)
     return curate_data(
         path,
@@ -191,6 +182,173 @@ def curate_customer_csv(t: Tables) -> DataFrame:
     ).df
 
 
+CURATED_ORDERS_CSV_SQL = """
+    select o_orderkey::varchar as o_orderkey, o_custkey::varchar as o_custkey, o_orderstatus,
+           cast(o_totalprice as decimal(12,2))::varchar as o_totalprice,
+           strftime(o_orderdate, '%Y-%m-%d') as o_orderdate, o_orderpriority
+    from orders"""
+
+
+def _orders_text(t: Tables) -> DataFrame:
+    return t.orders.select(
+        *as_text("o_orderkey", "o_custkey"),
+        "o_orderstatus",
+        money("o_totalprice").alias("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+        "o_orderpriority",
+    )
+
+
+@query("csv_orders_of_columns", CURATED_ORDERS_CSV_SQL)
+def csv_orders_of_columns(t: Tables) -> DataFrame:
+    """One table of many files, in which the columns stand in three different orders."""
+    path, rows = scratch_folder(t.spark, "catalogue"), _orders_text(t)
+    names = rows.columns
+    for k, order in enumerate((names, names[::-1], names[2:] + names[:2])):
+        writers.write_csv(rows.where(F.col("o_orderkey").cast("bigint") % 3 == k).select(*order), f"{path}/part={k}")
+    return readers.read_csv(t.spark, f"{path}/*")
+
+
+# Every seventh order has a field too many, every seventh one too few.
+_BROKEN = "case o_orderkey % 7 when 0 then o_orderkey || ',' || o_custkey || ',\"a, b\",' || o_orderstatus when 1 then o_orderkey || ',' || o_custkey else o_orderkey || ',' || o_custkey || ',\"' || o_orderstatus || ', x\"' end"
+
+
+def _broken_csv(t: Tables) -> str:
+    """A folder of CSV files as a faulty writer leaves them: lines with their own quotes."""
+    path = scratch_folder(t.spark, "catalogue")
+    lines = t.orders.select(F.expr(_BROKEN).alias("Order Key,Customer,Status"))
+    lines.write.options(header=True, quote="", escapeQuotes=False, sep="\x01").csv(path)
+    return path
+
+
+@query("curate_malformed", """
+    select o_orderkey::integer as order_key, o_custkey::integer as customer,
+           case when o_orderkey % 7 != 1 then o_orderstatus || ', x' end as status
+    from orders where o_orderkey % 7 != 0""")
+def curate_malformed(t: Tables) -> DataFrame:
+    return curate_data(_broken_csv(t), primary_key="Order Key", spark=t.spark).df
+
+
+@query("malformed_rows", f"""
+    select o_orderkey::varchar as "Order Key", o_custkey::varchar as "Customer", 'a, b' as "Status", {_BROKEN} as line
+    from orders where o_orderkey % 7 = 0""")
+def malformed_rows(t: Tables) -> DataFrame:
+    """What curation kept apart: the fields as far as they go, and the line."""
+    apart = curate_data(_broken_csv(t), primary_key="Order Key", spark=t.spark).malformed
+    return apart.withColumnRenamed(readers.MALFORMED, "line")
+
+
+@query("audit_malformed", """
+    select rule, rows_affected from (values
+        ('malformed', (select count(*) from orders where o_orderkey % 7 = 0)),
+        ('short', (select count(*) from orders where o_orderkey % 7 = 1)),
+        ('integer', (select count(*) from orders where o_orderkey % 7 != 0)),
+        ('duplicates', 0)
+    ) as a(rule, rows_affected)""")
+def audit_malformed(t: Tables) -> DataFrame:
+    audit = curate_data(_broken_csv(t), primary_key="Order Key", spark=t.spark).audit
+    return audit.where("rule in ('malformed', 'short', 'duplicates') or `column` = 'order_key' and rule = 'integer'").select(
+        "rule", "rows_affected"
+    )
+
+
+@query("csv_one_file", CURATED_ORDERS_CSV_SQL)
+def csv_one_file(t: Tables) -> DataFrame:
+    """One headered file, written by many tasks."""
+    path = scratch_folder(t.spark, "catalogue") + "/orders.csv"
+    writers.write_csv_file(_orders_text(t).repartition(7), path)
+    return readers.read_csv(t.spark, path)
+
+
+@query("raw_preview", CURATED_ORDERS_CSV_SQL + " order by orders.o_orderkey limit 10")
+def raw_preview(t: Tables) -> DataFrame:
+    """The first rows of a raw file, as they are."""
+    path = scratch_folder(t.spark, "catalogue") + "/orders.csv"
+    writers.write_csv_file(_orders_text(t).orderBy(F.col("o_orderkey").cast("bigint")), path)
+    return readers.preview_csv(t.spark, path, 10)
+
+
+# Two columns that are ISO already, and two that need repair.
+@query("curate_iso", """
+    select event_id::integer as event_id, ts::date as day, date_trunc('second', ts) as moment,
+           ts::date as day_first, date_trunc('millisecond', ts) as spoken
+    from events""")
+def curate_iso(t: Tables) -> DataFrame:
+    return curate(_iso_events(t), CurationConfig(primary_key="event_id")).df
+
+
+def _iso_events(t: Tables) -> DataFrame:
+    return t.events.select(
+        *as_text("event_id"),
+        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("moment"),
+        F.date_format("ts", "dd/MM/yyyy").alias("day first"),
+        F.date_format("ts", "'at 'yyyy/MM/dd HH:mm:ss.SSSSSS").alias("spoken"),
+    )
+
+
+@query("audit_iso", """
+    select rule, "column", rows_affected from (values
+        ('date', 'day_first', (select count(*) from events)), ('timestamp', 'spoken', (select count(*) from events)),
+        ('integer', 'event_id', (select count(*) from events)), ('space', 'spoken', (select count(*) from events)),
+        ('space', 'day_first', null)
+    ) as a(rule, "column", rows_affected)""")
+def audit_iso(t: Tables) -> DataFrame:
+    """Columns that are ISO already are not among the repaired ones."""
+    audit = curate(_iso_events(t), CurationConfig(primary_key="event_id")).audit
+    return audit.where("`column` is not null and rule not in ('primary key', 'duplicates')").select("rule", "column", "rows_affected")
+
+
+def _store(t: Tables, scheme: str, authority: str) -> SparkSession:
+    """A session of its own for which the store ``scheme://authority`` is a folder that all executors share."""
+    session = t.spark.newSession()
+    for key, value in {
+        f"fs.{scheme}.impl": "org.apache.hadoop.fs.viewfs.ViewFileSystemOverloadScheme",
+        f"fs.{scheme}.impl.disable.cache": "true",
+        f"fs.viewfs.overload.scheme.target.{scheme}.impl": "org.apache.hadoop.fs.viewfs.ViewFileSystem",
+        # The factory that Hadoop names for S3 is not part of Spark's own distribution.
+        f"mapreduce.outputcommitter.factory.scheme.{scheme}": "org.apache.hadoop.mapreduce.lib.output.FileOutputCommitterFactory",
+        f"fs.viewfs.mounttable.{authority}.linkFallback": _uri(scratch_folder(t.spark, "catalogue")),
+        "spark.sql.session.timeZone": t.spark.conf.get("spark.sql.session.timeZone"),
+    }.items():
+        session.conf.set(key, value)
+    return session
+
+
+def _uri(folder: str) -> str:
+    return folder if "://" in folder else "file://" + folder.removeprefix("file:")
+
+
+def _curated_in_store(t: Tables, session: SparkSession, uri: str, path: str, **storage: dict[str, str]) -> DataFrame:
+    """Dirty customers, written to the store as CSV, curated by their path, and read back from the store."""
+    writers.write_csv(_dirty_customer(Tables(session, t.folder)), uri)
+    result = curate_data(
+        path,
+        output_file_path=uri.removesuffix("/in") + "/out",
+        logging_path=uri.removesuffix("/in") + "/log",
+        primary_key="CUST Key",
+        composite_keys=["Name", "Segment"],
+        valid_spl_chars={"$": [1, "Balance"]},
+        spark=session,
+        **storage,
+    )
+    return result.df
+
+
+@query("curate_customer_s3", CURATED_CUSTOMER_SQL)
+def curate_customer_s3(t: Tables) -> DataFrame:
+    keys = {"access_key": "id", "secret_key": "hidden"}
+    return _curated_in_store(t, _store(t, "s3a", "bucket"), "s3a://bucket/in", "s3://bucket/in", aws_s3=keys)
+
+
+@query("curate_customer_azure", CURATED_CUSTOMER_SQL)
+def curate_customer_azure(t: Tables) -> DataFrame:
+    blob = {"storage_account_name": "acc", "storage_account_key": "hidden", "container_name": "box"}
+    authority = "box@acc.blob.core.windows.net"
+    session = _store(t, "wasbs", authority)
+    return _curated_in_store(t, session, f"wasbs://{authority}/in", "in", azure_blob=blob)
+
+
 @query("audit_written", """
     select "Cleansing Part", "Message" from (values
         ('Data', 'column ''balance'': misplaced characters removed in ' || (select count(*) from customer) || ' rows'),
@@ -202,7 +360,7 @@ def audit_written(t: Tables) -> DataFrame:
     balance = F.concat(F.lit("$x"), money("c_acctbal"), F.lit("x$")).alias("balance")
     rows = t.customer.select(F.col("c_custkey").alias("id"), balance)
     config = CurationConfig.of(primary_key="id", valid_spl_chars={"$": [1, "balance"]})
-    log = curate(rows, config, log_folder=scratch_folder(t.spark)).log_path
+    log = curate(rows, config, log_folder=scratch_folder(t.spark, "catalogue")).log_path
     return readers.read_csv(t.spark, log).select("Cleansing Part", "Message")
 
 
@@ -262,7 +420,7 @@ def _dirty_orders(t: Tables) -> DataFrame:
 @query("curate_events", """
     select event_id::integer as event_id,
            date_trunc('millisecond', timezone('America/New_York', timezone('UTC', ts))) as ts,
-           user_id::integer as user_id, event_type, value
+           user_id::integer as user_id, event_type, value, 'k: ' || regexp_extract(props, '[0-9]+') as props
     from events""")
 def curate_events(t: Tables) -> DataFrame:
     rows = t.events.select(
@@ -270,28 +428,39 @@ def curate_events(t: Tables) -> DataFrame:
         F.date_format("ts", "'at 'yyyy/MM/dd HH:mm:ss.SSSSSS").alias("ts"),
         F.concat(F.lit("<"), "event_type", F.lit(">")).alias("event_type"),
         "value",
+        "props",
     )
     config = CurationConfig.of(primary_key="event_id", outputtz="America/New_York")
     return curate(rows, config).df
 
 
 @query("audit_log", """
-    select * from (values
-        ('Data', 'special', 'o_orderstatus', (select count(*) from orders where o_orderstatus = 'P')),
-        ('Data', 'missing', 'o_orderstatus', (select count(*) from orders where o_orderstatus = 'P')),
-        ('Data', 'space', 'o_orderpriority', (select count(*) from orders)),
-        ('Data', 'date', 'o_orderdate', (select count(*) from orders)),
-        ('Data', 'integer', 'o_orderkey', (select count(*) from orders)),
-        ('Data', 'integer', 'o_custkey', (select count(*) from orders)),
-        ('Data', 'float', 'o_totalprice', (select count(*) from orders)),
-        ('Data', 'primary key', 'o_orderkey', 0),
-        ('Data', 'composite key', null, null),
-        ('Data', 'duplicates', 'o_orderkey', (select count(*) - count(distinct o_orderkey) from orders)),
-        ('Header', 'none', null, null)
-    ) as a(part, rule, "column", rows_affected)""")
+    with n as (select count(*) as every, count(*) filter (where o_orderstatus = 'P') as p,
+                      count(*) - count(distinct o_orderkey) as twice from orders)
+    select "Cleansing Part", "Message", rule, "column", rows_affected from (
+        select unnest([
+            {'Cleansing Part': 'Header', 'Message': 'Header: no cleansing required', 'rule': 'none', 'column': null, 'rows_affected': null},
+            {'Cleansing Part': 'Data', 'Message': format('column ''o_orderstatus'': special characters removed in {} rows', p),
+             'rule': 'special', 'column': 'o_orderstatus', 'rows_affected': p},
+            {'Cleansing Part': 'Data', 'Message': format('column ''o_orderstatus'': empty values set to NULL in {} rows', p),
+             'rule': 'missing', 'column': 'o_orderstatus', 'rows_affected': p},
+            {'Cleansing Part': 'Data', 'Message': format('column ''o_orderpriority'': outer spaces removed in {} rows', every),
+             'rule': 'space', 'column': 'o_orderpriority', 'rows_affected': every},
+            {'Cleansing Part': 'Data', 'Message': format('column ''o_orderdate'': dates made ISO in {} rows', every),
+             'rule': 'date', 'column': 'o_orderdate', 'rows_affected': every},
+            {'Cleansing Part': 'Data', 'Message': format('column ''o_orderkey'': text made integer in {} rows', every),
+             'rule': 'integer', 'column': 'o_orderkey', 'rows_affected': every},
+            {'Cleansing Part': 'Data', 'Message': format('column ''o_custkey'': text made integer in {} rows', every),
+             'rule': 'integer', 'column': 'o_custkey', 'rows_affected': every},
+            {'Cleansing Part': 'Data', 'Message': format('column ''o_totalprice'': text made float in {} rows', every),
+             'rule': 'float', 'column': 'o_totalprice', 'rows_affected': every},
+            {'Cleansing Part': 'Data', 'Message': 'primary key ''o_orderkey'': valid', 'rule': 'primary key', 'column': 'o_orderkey', 'rows_affected': 0},
+            {'Cleansing Part': 'Data', 'Message': 'composite key: not given', 'rule': 'composite key', 'column': null, 'rows_affected': null},
+            {'Cleansing Part': 'Data', 'Message': format('{} duplicates removed', twice),
+             'rule': 'duplicates', 'column': 'o_orderkey', 'rows_affected': twice}
+        ], recursive := true) from n)""")
 def audit_log(t: Tables) -> DataFrame:
-    audit = curate(_dirty_orders(t), CurationConfig(primary_key="o_orderkey")).audit
-    return audit.select(F.col("Cleansing Part").alias("part"), "rule", "column", "rows_affected")
+    return curate(_dirty_orders(t), CurationConfig(primary_key="o_orderkey")).audit.drop("Timestamp")
 
 
 @query("profile_customer", f"""
@@ -308,11 +477,17 @@ def audit_log(t: Tables) -> DataFrame:
             ))})
     select "column", count(*) as rows, count(v) as non_null,
            count(*) filter (where t <> v) as padded_rows, count(*) filter (where k <> t) as special_rows,
-           count(*) filter (where k = '') as empty_rows, count(nullif(k, '')) as filled_rows
+           count(*) filter (where k = '') as empty_rows, count(nullif(k, '')) as filled_rows,
+           count(*) filter (where regexp_matches(k, '^[0-9]*\.[0-9]*$') and try_cast(k as float) is not null) as float_rows,
+           count(*) filter (where regexp_matches(k, '^[0-9]+$') and try_cast(k as integer) is not null) as integer_rows,
+           count(*) filter (where regexp_matches(v, '^.*[0-9]+[/-][0-9]+[/-][0-9]+')) as date_rows,
+           count(*) filter (where contains(v, ':')) as timestamp_rows,
+           count(*) filter (where regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')) as iso_date_rows,
+           count(*) filter (where regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ][0-9:]+$')) as iso_timestamp_rows,
+           count(*) filter (where contains(v, ':')) as zoned_rows
     from long group by "column" """)
 def profile_customer(t: Tables) -> DataFrame:
     dirty = _dirty_customer(t)
     names = headers.resolve(dirty.columns)
     config = CurationConfig.of(valid_spl_chars={"$": [1, "balance"]})
-    counts = profile(headers.rename(dirty, names), config)
-    return counts.drop("date_rows", "timestamp_rows", "float_rows", "integer_rows")
+    return profile(headers.rename(dirty, names), config)

@@ -108,9 +108,20 @@ def ts_detect(t: Tables) -> DataFrame:
     return profile.detect(t.events.select(stamps, "event_type", "props"))
 
 
-@query("detect_in_documents", _detect_sql(("documents", "text"), ("documents", "source")))
+# Every third text is a date or a timestamp among invented prose.
+_PLANTED = """(select case doc_id % 6 when 0 then '12/' || (doc_id % 12 + 1) || '/2024' when 3 then text || ' on 2024-01-02T03:04:05'
+                            else text end as text, source, lang from documents)"""
+
+
+@query("detect_in_documents", _detect_sql((_PLANTED, "text"), (_PLANTED, "source"), (_PLANTED, "lang")))
 def detect_in_documents(t: Tables) -> DataFrame:
-    return profile.detect(t.documents.select("text", "source"))
+    of = F.col("doc_id") % 6
+    text = (
+        F.when(of == 0, F.concat(F.lit("12/"), (F.col("doc_id") % 12 + 1).cast("string"), F.lit("/2024")))
+        .when(of == 3, F.concat("text", F.lit(" on 2024-01-02T03:04:05")))
+        .otherwise(F.col("text"))
+    )
+    return profile.detect(t.documents.select(text.alias("text"), "source", "lang"))
 
 
 @query("iso_date_check", f"""
@@ -191,14 +202,12 @@ def ts_typed_shift(t: Tables) -> DataFrame:
     return planning.apply(t.events, typed)
 
 
-@query("typed_date_identity", """
-    select l_orderkey, l_linenumber, l_shipdate::date as l_shipdate from lineitem""")
+@query("typed_date_identity", "select * replace (l_shipdate::date as l_shipdate) from lineitem")
 def typed_date_identity(t: Tables) -> DataFrame:
-    names = ("l_orderkey", "l_linenumber", "l_shipdate")
+    rows = t.lineitem.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
     plan = CurationPlan(
-        source_columns=names,
-        positions=(0, 1, 2),
-        columns=tuple(ColumnPlan(name, name, planning.UNTOUCHED) for name in names),
+        source_columns=tuple(rows.columns),
+        positions=tuple(range(len(rows.columns))),
+        columns=tuple(ColumnPlan(name, name, planning.UNTOUCHED) for name in rows.columns),
     )
-    rows = t.lineitem.select(*names).withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
     return planning.apply(rows, plan)

@@ -19,11 +19,24 @@ def looks_like_timestamp(value: Column) -> Column:
 
 
 def is_iso_date(value: Column) -> Column:
-    return value.rlike(patterns.ISO_DATE) & value.try_cast("date").isNotNull()
+    return is_iso_shaped_date(value) & value.try_cast("date").isNotNull()
 
 
 def is_iso_timestamp(value: Column) -> Column:
-    return value.rlike(patterns.ISO_TIMESTAMP) & value.try_cast("timestamp").isNotNull()
+    return is_iso_shaped_timestamp(value) & value.try_cast("timestamp").isNotNull()
+
+
+def is_iso_shaped_date(value: Column) -> Column:
+    return value.rlike(patterns.ISO_DATE)
+
+
+def is_iso_shaped_timestamp(value: Column) -> Column:
+    return value.rlike(patterns.ISO_TIMESTAMP)
+
+
+def has_own_zone(value: Column) -> Column:
+    """Whether a zone or an offset follows the time of day."""
+    return value.rlike(patterns.OWN_ZONE)
 
 
 def strip_date(value: Column) -> Column:
@@ -104,7 +117,7 @@ def iso_timestamp(value: Column, input_tz: str = "GMT", output_tz: str = "UTC")
     local = dashed.try_cast("timestamp_ntz")
     zoned = utc_wall(dashed.try_cast("timestamp"))
     return F.when(
-        dashed.rlike(patterns.OWN_ZONE) & local.isNotNull(), shift_zone(zoned, "UTC", output_tz)
+        has_own_zone(dashed) & local.isNotNull(), shift_zone(zoned, "UTC", output_tz)
     ).otherwise(shift_zone(local, input_tz, output_tz))
 
 

@@ -96,11 +96,12 @@ def empty_unnamed(headers: Sequence[Header], non_null: dict[str, int]) -> list[i
     return [h.position for h in headers if h.missing and non_null[h.name] == 0]
 
 
-def rename(df: DataFrame, headers: Sequence[Header]) -> DataFrame:
-    """``df`` with the columns that ``headers`` lists, under their new names."""
+def rename(df: DataFrame, headers: Sequence[Header], last: str | None = None) -> DataFrame:
+    """``df`` with the columns that ``headers`` lists, under their new names; ``last`` also keeps the last column, as that."""
     # By position first: source names may repeat or hold dots and backticks.
     positional = df.toDF(*[f"at_{i}" for i in range(len(df.columns))])
-    return positional.select([column(f"at_{h.position}").alias(h.name) for h in headers])
+    more = [column(f"at_{len(df.columns) - 1}").alias(last)] if last else []
+    return positional.select([column(f"at_{h.position}").alias(h.name) for h in headers] + more)
 
 
 def name_columns(df: DataFrame) -> DataFrame:

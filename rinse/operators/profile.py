@@ -19,8 +19,9 @@ from rinse.functions.expressions import column
 from rinse.operators import keys
 from rinse.plans.config import CurationConfig
 
-#: Name of the pseudo-column that stands for the composite key.
+#: Names of the pseudo-columns that stand for the composite key, and for rows with more or fewer fields than the header.
 COMPOSITE = "<composite key>"
+MALFORMED, SHORT = "<malformed rows>", "<short rows>"
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -39,6 +40,11 @@ def _pairs(df: DataFrame, columns: Sequence[str], markers: dict[str, Column]) ->
     return wide.unpivot([], [column(name) for name in wide.columns], "column", "value")
 
 
+def kept_apart(malformed: str = MALFORMED) -> Column:
+    """Whether a row has more fields than the header; the column ``malformed`` is that of the CSV reader."""
+    return F.coalesce(column(malformed).getField("more"), F.lit(False))
+
+
 def _marker(present: Column) -> Column:
     return F.when(present, F.lit("1"))
 
@@ -114,14 +120,24 @@ def profile(df: DataFrame, config: CurationConfig) -> DataFrame:
     """All text findings at once, one row per column.
 
     Counts on the values as they are (``rows``, ``non_null``, ``date_rows``,
-    ``timestamp_rows``, ``padded_rows``) and on the values cleaned as text
-    (``special_rows``, ``empty_rows``, ``filled_rows``, ``float_rows``,
-    ``integer_rows``). Columns of other types only have their values counted.
+    ``timestamp_rows``, of them ``iso_date_rows``, ``iso_timestamp_rows`` and ``zoned_rows``,
+    ``padded_rows``) and on the values cleaned as text (``special_rows``, ``empty_rows``,
+    ``filled_rows``, ``float_rows``, ``integer_rows``). Columns of other types only have their
+    values counted. Where there is a column MALFORMED, the ``non_null`` of MALFORMED and SHORT count the
+    rows with more and with fewer fields than the header; of the former no value is counted.
     """
     texts = text_columns(df)
     markers = {
-        f.name: _marker(column(f.name).isNotNull()) for f in df.schema if f.name not in texts
+        f.name: _marker(column(f.name).isNotNull())
+        for f in df.schema
+        if f.name not in texts and f.name != MALFORMED
     }
+    if MALFORMED in df.columns:
+        more = kept_apart()
+        markers = {name: F.when(~more, present) for name, present in markers.items()}
+        markers[MALFORMED] = _marker(more)
+        markers[SHORT] = _marker(column(MALFORMED).isNotNull() & ~more)
+        df = df.withColumns({name: F.when(~more, column(name)) for name in texts})
     if config.composite_keys:
         parts = [
             cleaned_text(column(name), config, name) if name in texts else column(name)
@@ -134,18 +150,24 @@ def profile(df: DataFrame, config: CurationConfig) -> DataFrame:
         config, F.col("column"), lambda rule: text.clean(trimmed, config.extra_allowed, rule)
     )
     # One pattern settles most numbers: they need no trimming and no cleaning.
+    dated, stamped = F.col("dated"), F.col("stamped")
     steps = (
         _pairs(df, texts, markers)
         .withColumn("plain", numeric.is_plain(value))
         .withColumn("trimmed", F.when(plain, value).otherwise(text.trim_space(value)))
         .withColumn("cleaned", F.when(plain, trimmed).otherwise(by_rule))
         .withColumn("number", plain | numeric.is_number(cleaned))
+        .withColumn("dated", temporal.looks_like_date(value))
+        .withColumn("stamped", temporal.looks_like_timestamp(value))
     )
     return steps.groupBy("column").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(value).alias("non_null"),
-        F.count_if(temporal.looks_like_date(value)).alias("date_rows"),
-        F.count_if(temporal.looks_like_timestamp(value)).alias("timestamp_rows"),
+        F.count_if(dated).alias("date_rows"),
+        F.count_if(stamped).alias("timestamp_rows"),
+        F.count_if(dated & temporal.is_iso_date(value)).alias("iso_date_rows"),
+        F.count_if(stamped & temporal.is_iso_timestamp(value)).alias("iso_timestamp_rows"),
+        F.count_if(stamped & temporal.has_own_zone(value)).alias("zoned_rows"),
         F.count_if(trimmed != value).alias("padded_rows"),
         F.count_if(cleaned != trimmed).alias("special_rows"),
         F.count_if(text.is_empty(cleaned)).alias("empty_rows"),

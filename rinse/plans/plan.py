@@ -27,6 +27,8 @@ class ColumnPlan:
     name: str
     kind: str
     rule: PlacementRule | None = None
+    #: Every value is ISO text already: a date or timestamp that needs no repair, only to be read.
+    iso: bool = False
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,10 @@ class CurationPlan:
     def of_kind(self, *kinds: str) -> list[str]:
         return [plan.name for plan in self.columns if plan.kind in kinds]
 
+    def to_repair(self, kind: str) -> list[str]:
+        """Date or timestamp columns with values that are not ISO."""
+        return [plan.name for plan in self.columns if plan.kind == kind and not plan.iso]
+
     def to_json(self) -> str:
         return json.dumps(asdict(self))
 
@@ -85,6 +91,12 @@ def text_kind(counts: Mapping[str, int], ratio: float) -> str:
     return TEXT
 
 
+def is_iso(kind: str, counts: Mapping[str, int]) -> bool:
+    """Whether all values of a date or timestamp column are ISO already."""
+    of_kind = {DATE: "iso_date_rows", TIMESTAMP: "iso_timestamp_rows"}
+    return kind in of_kind and counts[of_kind[kind]] == counts["non_null"]
+
+
 def make_plan(
     df: DataFrame,
     source_columns: Sequence[str],
@@ -105,10 +117,9 @@ def make_plan(
             kind = UNTOUCHED if same else TYPED_TIMESTAMP
         else:
             kind = UNTOUCHED
-        is_text = kind in (TEXT, INTEGER, FLOAT)
-        columns.append(
-            ColumnPlan(header.source, name, kind, config.rule_for(name) if is_text else None)
-        )
+        rule = config.rule_for(name) if kind in (TEXT, INTEGER, FLOAT) else None
+        iso = name in texts and is_iso(kind, counts[name])
+        columns.append(ColumnPlan(header.source, name, kind, rule, iso))
     return CurationPlan(
         source_columns=tuple(source_columns),
         positions=tuple(header.position for header in headers),
@@ -123,11 +134,17 @@ def make_plan(
 
 
 def _stripped(value: Column, plan: ColumnPlan) -> Column:
-    if plan.kind == DATE:
-        return temporal.strip_date(value)
-    if plan.kind == TIMESTAMP:
-        return temporal.strip_timestamp(value)
-    return value
+    if plan.kind not in (DATE, TIMESTAMP):
+        return value
+    is_date = plan.kind == DATE
+    stripped = temporal.strip_date(value) if is_date else temporal.strip_timestamp(value)
+    # A later batch may hold what is not ISO.
+    return F.when(_iso_shaped(value, plan), value).otherwise(stripped) if plan.iso else stripped
+
+
+def _iso_shaped(value: Column, plan: ColumnPlan) -> Column:
+    of = temporal.is_iso_shaped_date if plan.kind == DATE else temporal.is_iso_shaped_timestamp
+    return of(value)
 
 
 def _cleaned(value: Column, plan: ColumnPlan, extra: str) -> Column:
@@ -144,7 +161,8 @@ def _cleaned(value: Column, plan: ColumnPlan, extra: str) -> Column:
 
 def _typed(value: Column, plan: ColumnPlan, whole: CurationPlan, schema: T.StructType) -> Column:
     if plan.kind == DATE:
-        return temporal.iso_date(value)
+        repaired = temporal.iso_date(value)
+        return F.when(_iso_shaped(value, plan), value.try_cast("date")).otherwise(repaired) if plan.iso else repaired
     if plan.kind == TIMESTAMP:
         return temporal.iso_timestamp(value, whole.input_tz, whole.output_tz)
     if plan.kind == TYPED_TIMESTAMP:

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from datetime import date, datetime
 
 import pytest
@@ -242,3 +245,79 @@ def test_unrelated_names_stay_apart(spark):
     result = curate(df.withColumn("x.y", F.lit("c")))
     assert result.df.columns == ["x", "x_2", "n_n", "xy"]
     assert ("collision", "x_2") in entries(result)
+
+
+def test_malformed_rows_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Id,When,V\n1,2024-01-02,a\n2,03/04/2024,b,extra\n3,2024-01-03\n"4",2024-01-04,"d, e",\n1,2024-01-02,a\n')
+    out = str(tmp_path / "out")
+    for folder in (None, out):
+        result = curate_data(str(tmp_path / "a.csv"), primary_key="Id", spark=spark, output_file_path=folder)
+        assert sorted(map(tuple, result.df.collect())) == [(1, date(2024, 1, 2), "a"), (3, date(2024, 1, 3), None)]
+        assert result.malformed.columns[:3] == ["Id", "When", "V"]
+        assert sorted(map(tuple, result.malformed.collect())) == [
+            ("2", "03/04/2024", "b", "2,03/04/2024,b,extra"), ("4", "2024-01-04", "d, e", '"4",2024-01-04,"d, e",')]
+        found = entries(result)
+        assert (found[("malformed", None)], found[("short", None)], found[("duplicates", "id")]) == (2, 1, 1)
+        # What is kept apart counts nowhere else: all dates that are left are ISO.
+        assert result.plan.columns[1].iso and ("date", "when") not in found
+        assert found[("integer", "id")] == 3 and found[("primary key", "id")] == 0
+    clean = tmp_path / "b.csv"
+    clean.write_text("a,b\n1,2\n")
+    result = curate_data(str(clean), spark=spark)
+    assert result.malformed.count() == 0 and not {r for r, _ in entries(result)} & {"malformed", "short"}
+    (tmp_path / "c.csv").write_text("a,b\n1,2,3\n")
+    with pytest.raises(ValueError, match="no rows"):
+        curate_data(str(tmp_path / "c.csv"), spark=spark)
+    with pytest.raises(ValueError, match="last column"):
+        curate(spark.range(1), malformed="x")
+
+
+def test_iso_columns_skip_the_second_pass(spark):
+    rows = [("2024-01-02", "2024-01-02T10:00:00Z", "1"), ("2024-02-30", "2024-01-02 10:00:00+02:00", "2"), (None, None, "3")]
+    df = spark.createDataFrame([rows[0], rows[2]], "d string, t string, n string")
+    config = CurationConfig(primary_key="n", output_tz="Asia/Tokyo")
+    plan = []
+    one_pass = jobs(spark, lambda: plan.append(learn(df, config).plan))
+    assert [(p.kind, p.iso) for p in plan[0].columns[:2]] == [(planning.DATE, True), (planning.TIMESTAMP, True)]
+    both = spark.createDataFrame(rows, "d string, t string, n string")
+    assert jobs(spark, lambda: plan.append(learn(both, config).plan)) > one_pass
+    assert [(p.kind, p.iso) for p in plan[1].columns[:2]] == [(planning.DATE, False), (planning.TIMESTAMP, True)]
+    result = curate(df, config)
+    assert sorted(map(tuple, result.df.collect()), key=repr) == [(None, None, 3), (date(2024, 1, 2), datetime(2024, 1, 2, 19), 1)]
+    assert entries(result)[("timestamp", "t")] == 1 and ("date", "d") not in entries(result)
+    same = curate(both, CurationConfig(primary_key="n"))
+    assert entries(same)[("timestamp", "t")] == 2  # both carry a zone of their own
+    # Later values that are not ISO are repaired as in any other date column.
+    later = spark.createDataFrame([("on 03/04/2024", "at 2024/01/02 10:00:00", "7")], "d string, t string, n string")
+    again = CurationPlan.from_json(plan[0].to_json())
+    assert tuple(planning.apply(later, again).first()) == (date(2024, 4, 3), datetime(2024, 1, 2, 19), 7)
+
+
+def test_duplicates_are_counted_by_the_one_write(spark, tmp_path):
+    df = spark.createDataFrame([(str(i % 7), f" {i % 7}") for i in range(50)], "id string, v string").repartition(3)
+    learning = jobs(spark, lambda: learn(df, CurationConfig(primary_key="id")))
+    kept = []
+    config = CurationConfig(primary_key="id")
+    runs = [lambda folder=folder: kept.append(curate(df, config, output_folder=folder)) for folder in (None, str(tmp_path / "out"))]
+    for run in runs:
+        # Beyond the profile: the given rows' own shuffle, that by the key, and the write.
+        assert jobs(spark, run) <= learning + 3
+        assert entries(kept[-1])[("duplicates", "id")] == 43 and kept[-1].df.count() == 7
+    # What curation returns is read from files: neither cleaned nor shuffled again.
+    plan = kept[0].df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "regexp" not in plan
+
+
+def test_without_a_shared_folder(spark, tmp_path):
+    """A process of its own, as Spark's settings can't be taken back in this one."""
+    (tmp_path / "conf").mkdir()
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from rinse import curate\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+        "print(curate(s.createDataFrame([('1', ' a')] * 2, 'id string, v string')).df.collect())\n"
+    )
+    environment = {**os.environ, "SPARK_CONF_DIR": str(tmp_path / "conf"), "PYTHONPATH": os.pathsep.join(sys.path)}
+    done = subprocess.run([sys.executable, "-c", code], env=environment, capture_output=True, text=True, timeout=300)
+    assert "Row(id=1, v='a')" in done.stdout, done.stderr[-2000:]

@@ -83,3 +83,112 @@ def test_curated_table_as_csv(spark, tmp_path):
     assert "v" in spark.read.option("header", True).csv(found.output_path).columns
     with pytest.raises(ValueError, match="neither"):
         curate(df, output_folder=str(tmp_path), output_format="orc")
+
+
+def folder_of(tmp_path, **files):
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    return str(tmp_path)
+
+
+def test_files_are_read_by_their_own_header(spark, tmp_path):
+    path = folder_of(tmp_path, a="id,name\n1,x\n", b='"name",id\nz,3\n', c="\n\nid,name\r\n4,w\r\n", d="")
+    df = readers.read_csv(spark, path)
+    assert df.columns == ["id", "name"]
+    assert sorted(map(tuple, df.collect())) == [("1", "x"), ("3", "z"), ("4", "w")]
+    assert sorted(r["name"] for r in readers.read_csv(spark, path, malformed="line").select("name").collect()) == ["w", "x", "z"]
+
+
+def test_names_of_files_may_hold_pattern_characters(spark, tmp_path):
+    folder = tmp_path / "in {1} [2]"
+    folder.mkdir()
+    (folder / "a b%20*.csv").write_text("id,name\n1,x\n")
+    (folder / "c?.csv").write_text("name,id\nz,3\n")
+    df = readers.read_csv(spark, str(tmp_path / "in*"))
+    assert sorted(map(tuple, df.collect())) == [("1", "x"), ("3", "z")]
+
+
+@pytest.mark.parametrize("other", ["id,nome\n1,2\n", "id\n1\n", "id,name,more\n1,2,3\n"])
+def test_files_with_different_names_fail(spark, tmp_path, other):
+    with pytest.raises(ValueError, match="different columns"):
+        readers.read_csv(spark, folder_of(tmp_path, a="name,id\n1,2\n", b=other))
+
+
+def test_repeated_names_need_one_order(spark, tmp_path):
+    same = readers.read_csv(spark, folder_of(tmp_path, a="x,x,\n1,2,3\n", b="x,x,\n4,5,6\n"))
+    assert sorted(map(tuple, same.collect())) == [("1", "2", "3"), ("4", "5", "6")]
+    with pytest.raises(ValueError, match="repeated"):
+        readers.read_csv(spark, folder_of(tmp_path, c="y,x,x\n1,2,3\n", a="x,x,y\n1,2,3\n", b="x,x,y\n1,2,3\n"))
+
+
+def test_large_files_are_not_read_for_their_header(spark, tmp_path):
+    rows = "".join(f"{i},{'v' * 200}\n" for i in range(100_000))
+    path = folder_of(tmp_path, a="id,name\n" + rows, b="name,id\n" + rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert readers.read_csv(spark, path).count() == 200_000
+        text = spark.read.text(path)
+        about = ["value", "_metadata.file_path", "_metadata.file_block_start as start", "_metadata.file_block_length as length", "_metadata.file_size as size"]
+        seen = text.selectExpr(*about).mapInArrow(_counted, "line string, file string")
+        assert max(int(r["line"]) for r in seen.collect()) <= 10_000  # one batch of a task's rows
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def _counted(batches):
+    """What the search for first lines takes from its input, in rows."""
+    import pyarrow as pa
+
+    taken = 0
+
+    def counting():
+        nonlocal taken
+        for batch in batches:
+            taken += batch.num_rows
+            yield batch
+
+    list(readers._first_lines(counting()))
+    yield pa.RecordBatch.from_arrays([pa.array([str(taken)]), pa.array([""])], names=["line", "file"])
+
+
+def test_rows_with_other_numbers_of_fields(spark, tmp_path):
+    path = folder_of(tmp_path, a='a,b\n1,2\n3,4,5\n6\n"7,8",9\n"7,8",9,\n', b="b,a\n1,2,3\n")
+    df = readers.read_csv(spark, path, malformed="line")
+    found = {r["line"]["line"]: (r["a"], r["b"], r["line"]["more"]) for r in df.where("line is not null").collect()}
+    assert found == {
+        "3,4,5": ("3", "4", True), "6": ("6", None, False), '"7,8",9,': ("7,8", "9", True),
+        "1,2,3": ("2", "1", True)}
+    assert df.count() == 6 and df.select("a").where("line is null").count() == 2
+    with pytest.raises(ValueError, match="of its own"):
+        readers.read_csv(spark, path, malformed="B")
+
+
+def test_one_csv_file(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id as `n, o`", "case when id % 3 = 0 then null else concat(' \"x\", ', id) end as t")
+    path = tmp_path / "deep" / "out.csv"
+    writers.write_csv_file(df.repartition(6).sortWithinPartitions("n, o"), str(path))
+    assert path.is_file() and sorted(x.name for x in path.parent.iterdir() if not x.name.startswith(".")) == ["out.csv"]
+    assert path.read_text().splitlines()[0] == '"n, o",t'
+    want = sorted((str(r[0]), r[1]) for r in df.collect())
+    assert sorted(map(tuple, readers.read_csv(spark, str(path)).collect())) == want
+    with pytest.raises(FileExistsError, match="ALREADY_EXISTS"):
+        writers.write_csv_file(df, str(path))
+    writers.write_csv_file(df.limit(0), str(path), overwrite=True)
+    assert path.read_text() == '"n, o",t\n'
+    with pytest.raises(Exception, match="line break"):
+        writers.write_csv_file(spark.createDataFrame([("a\nb",)], "s string"), str(tmp_path / "bad.csv"))
+    assert not [x for x in tmp_path.iterdir() if "bad" in x.name]
+
+
+def test_curated_table_as_one_csv_file(spark, tmp_path):
+    df = spark.createDataFrame([("1", " a "), ("1", " a "), ("2", "b!")], "id string, v string")
+    found = curate(df, output_folder=str(tmp_path), output_format="csv file")
+    assert sorted(map(tuple, found.df.collect())) == [(1, "a"), (2, "b")]
+    assert found.output_path.endswith("table.csv") and open(found.output_path).readline() == "id,v\n"
+
+
+def test_preview_of_a_raw_file(spark, tmp_path):
+    path = folder_of(tmp_path, a="A b,c!\n 1,x\n2,\n3,z\n") + "/a.csv"
+    rows = readers.preview_csv(spark, path, 2)
+    assert rows.columns == ["A b", "c!"] and list(map(tuple, rows.collect())) == [(" 1", "x"), ("2", None)]
+    assert readers.preview_csv(spark, path, 9).count() == 3

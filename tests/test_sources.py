@@ -158,7 +158,7 @@ def test_rows_with_other_numbers_of_fields(spark, tmp_path):
     assert found == {
         "3,4,5": ("3", "4", True), "6": ("6", None, False), '"7,8",9,': ("7,8", "9", True),
         "1,2,3": ("2", "1", True)}
-    assert df.count() == 6 and df.select("a").where("line is null").count() == 2
+    assert df.count() == 6 and len(df.where("line is null").collect()) == 2
     with pytest.raises(ValueError, match="of its own"):
         readers.read_csv(spark, path, malformed="B")
 

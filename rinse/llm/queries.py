@@ -105,28 +105,23 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+# Without masks: of 10 to 15 words with 2 or 3 unequal ones, some 3 words in a row are equal, of 5 to 9 with one unequal
+# some 2, and of fewer all. Every shift at which such a run is equal is compared word by word.
 SEED_SQL = r"""
-with masks(number, picks, span) as (values
-  (0, [0, 1, 2, 4, 7, 9, 10], 11), (1, [0, 1, 3, 5, 6, 9, 10], 11), (2, [0, 1, 4, 6, 7, 8, 10], 11)
-), docs as (
+with docs as (
   select distinct doc_id, text, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x != '') as w from documents where text is not null
 ), items as (
-  select * from (select distinct item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x != '') as v from benchmark where text is not null) where len(v) >= 5
-), every_mask as (
-  select * from masks union all
-  select 100 + n, range(n), n from (select distinct len(v) as n from items) where n < 11
-), doc_windows as (
-  select doc_id, text, unnest(range(len(w))) as pos, w from docs
-), doc_seeds as (
-  select doc_id, text, w, pos, number, array_to_string(list_transform(picks, lambda p: w[pos + p + 1]), ' ') as seed
-  from doc_windows, every_mask where pos + span <= len(w)
-), item_windows as (
-  select item_id, v, unnest(range(len(v))) as item_at from items
-), item_seeds as (
-  select item_id, v, item_at, number, array_to_string(list_transform(picks, lambda p: v[item_at + p + 1]), ' ') as seed
-  from item_windows, every_mask where item_at + span <= len(v) and (len(v) >= 11 and number < 100 or span = len(v) and number >= 100)
+  select *, case when len(v) >= 10 then 3 when len(v) >= 5 then 2 else len(v) end as run from (
+    select distinct item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x != '') as v from benchmark where text is not null
+  ) where len(v) >= 5
+), item_runs as (
+  select item_id, v, run, place, array_to_string(v[place + 1:place + run], ' ') as words
+  from (select *, unnest(range(len(v) - run + 1)) as place from items)
+), doc_runs as (
+  select doc_id, text, w, run, pos, array_to_string(w[pos + 1:pos + run], ' ') as words
+  from (select *, unnest(range(len(w))) as pos from docs), (select distinct run from items) where pos + run <= len(w)
 ), hits as (
-  select distinct doc_id, text, w, item_id, v, pos - item_at as shift from doc_seeds join item_seeds using (number, seed)
+  select distinct doc_id, text, w, item_id, v, pos - place as shift from doc_runs join item_runs using (run, words)
 ), lined as (
   select doc_id, text, item_id, shift, least(15, len(v)) as stretch,
     list_transform(range(greatest(0, -shift), least(len(v), len(w) - shift)), lambda t: (v[t + 1] = w[t + shift + 1])::int) as e

@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from rinse.sources.scratch import scratch_folder
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that the cluster names in spark.checkpoint.dir.
 
-    Where that setting is missing, as in tests, a temporary folder of this machine takes its place.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="rinse-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that the cluster names in spark.checkpoint.dir; without one, an error off `local`."""
+    return scratch_folder(spark, name)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -35,3 +27,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def tasks(spark: SparkSession) -> int:
     """How many partitions the session asks of a shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores behind it as it takes to be no column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

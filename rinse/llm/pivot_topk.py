@@ -10,9 +10,11 @@ Candidates are packed into blocks of `block` vectors, and queries into blocks of
 one row of work, and the best k of each query are merged by rank. What is dealt to the tasks is bounded by the size of
 two blocks, whatever the number of vectors.
 
-Null vectors, empty ones, those with a null or non-finite component, and those with an integer of `2**27` or more,
-whose scores might not fit a long, take no part. Vectors are compared with those of the same length. A query meets every row but its own; rows with a repeated
-vec_id are rows of their own. Ties go to the smaller vec_id, null last. Null vec_ids are candidates and no queries.
+Null vectors, empty ones and those with a null or non-finite component take no part. Vectors are compared with those of
+the same length. A query meets every row but its own; rows with a repeated vec_id are rows of their own. Ties go to the
+smaller vec_id, null last. Null vec_ids are candidates and no queries. Scores are exact whatever the size of the
+components: vectors whose products doubles don't add exactly are compared by Python's integers, and a score among the
+best that does not fit a long is an error.
 """
 
 from __future__ import annotations
@@ -24,39 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rinse.llm.components import join_hot
-from rinse.llm.shared import written
-
-_MOST = 1 << 27
-
-
-def as_integers(vector: Column, scale: float) -> Column:
-    """floor(scale * x) of each component as a double; null for vectors that take no part."""
-    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(scale)))
-    good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * F.lit(scale)) < _MOST))
-    return F.when(good & (F.size(vector) > 0), F.transform(whole, lambda x: x.cast("double")))
-
-
-def _packed(rows: DataFrame, blocks: str, salt: int) -> DataFrame:
-    """The rows as lists, one for each (dim, block), dealt by a checksum of the row's number."""
-    block = F.pmod(F.xxhash64("row", F.lit(salt)), F.col(blocks))
-    return rows.groupBy("dim", block.alias("block")).agg(
-        F.first("n").alias("n"), F.first("asked").alias("asked"), F.collect_list(F.struct("row", "vec_id", "whole")).alias("members")
-    )
-
-
-def _table(members: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers, ids, whether an id is missing, and the matrix of a block."""
-    fields = members.values
-    ids = fields.field("vec_id")
-    matrix = fields.field("whole")
-    flat = matrix.flatten().to_numpy(zero_copy_only=False)
-    return (
-        fields.field("row").to_numpy(),
-        ids.fill_null(np.iinfo(np.int64).max).to_numpy(),
-        np.asarray(ids.is_null()),
-        flat.reshape(len(ids), -1),
-    )
+from rinse.llm.vectors import as_long, counted, ids_of, integers, matrix, numbered, packed, whole
 
 
 def best_of_block(
@@ -78,11 +48,6 @@ def best_of_block(
     table = np.stack(table)
     pivot = space[chosen[: len(table)]]
     own = np.einsum("ij,ij->i", queries, queries)
-    if np.abs(x).max() * np.abs(queries).max(initial=0) * x.shape[1] < 1 << 53:
-        score = lambda part, q: (x[part] @ queries[q]).astype(np.int64)
-    else:  # beyond what doubles add exactly
-        whole, whole_queries = x.astype(np.int64), queries.astype(np.int64)
-        score = lambda part, q: whole[part] @ whole_queries[q]
     to_pivot = np.sqrt(np.maximum(own[:, None] + (pivot**2).sum(axis=1)[None, :] - 2 * queries @ pivot[:, :-1].T, 0))
     for q in range(len(queries)):
         below = np.abs(table - to_pivot[q][:, None]).max(axis=0)
@@ -96,13 +61,47 @@ def best_of_block(
             part = order[low : low + step]
             part = part[rows[part] != query_rows[q]]
             found = np.concatenate([found, part])
-            scores = np.concatenate([scores, score(part, q)])
+            scores = np.concatenate([scores, (x[part] @ queries[q]).astype(np.int64)])
             best = np.lexsort((rows[found], ids[found], -scores))[:k]
             found, scores = found[best], scores[best]
             least = scores[-1] if len(scores) == k else -np.inf
         yield q, found, scores
 
 
+def _exact(
+    query: list[int], query_row: int, vectors: list[list[int]], at: list[int], rows: np.ndarray, ids: np.ndarray, k: int
+) -> list[tuple[int, int]]:
+    """The best k (score, place) of these vectors by Python's integers."""
+    scored = [(sum(a * b for a, b in zip(query, v)), place) for v, place in zip(vectors, at) if rows[place] != query_row]
+    return sorted(scored, key=lambda s: (-s[0], ids[s[1]], rows[s[1]]))[:k]
+
+
+def _search(members: pa.Array, asked: pa.Array, k: int, scale: float, pivots: int, step: int) -> Iterator[tuple[int, int, np.ndarray, list[int]]]:
+    """For each query: its row and id, the places of its best k members, and their scores."""
+    rows, raw = members.field("row").to_numpy(), matrix(members.field("x"), len(members))
+    ids, _ = ids_of(members.field("vec_id"))
+    query_rows, raw_queries = asked.field("row").to_numpy(), matrix(asked.field("x"), len(asked))
+    query_ids, _ = ids_of(asked.field("vec_id"))
+    x, wide = whole(raw, scale)
+    queries, wide_queries = whole(raw_queries, scale)
+    narrow = np.flatnonzero(~wide)
+    found: dict[int, list[tuple[int, int]]] = {q: [] for q in range(len(asked))}
+    some = np.flatnonzero(~wide_queries)
+    if len(narrow) and len(some):
+        for q, at, scores in best_of_block(queries[some], query_rows[some], x[narrow], rows[narrow], ids[narrow], k, pivots, step):
+            found[int(some[q])] = list(zip(scores.tolist(), narrow[at].tolist()))
+    if wide.any() or wide_queries.any():
+        exact = {place: integers(raw[place], scale) for place in (range(len(x)) if wide_queries.any() else np.flatnonzero(wide).tolist())}
+        for q in range(len(asked)):
+            at = list(exact) if wide_queries[q] else np.flatnonzero(wide).tolist()
+            if at:
+                own = _exact(integers(raw_queries[q], scale), query_rows[q], [exact[place] for place in at], at, rows, ids, k)
+                found[q] = sorted(found[q] + own, key=lambda s: (-s[0], ids[s[1]], rows[s[1]]))[:k]
+    for q, best in found.items():
+        if best:
+            yield query_rows[q], query_ids[q], np.array([place for _, place in best]), as_long([score for score, _ in best], "score")
+
+
 def top_k(
     vectors: DataFrame,
     queries: Column,
@@ -118,40 +117,27 @@ def top_k(
 
     query_id, rank (from 1), vec_id, score.
     """
-    rows = vectors.select(
-        F.col("vec_id").cast("bigint").alias("vec_id"),
-        as_integers(F.col("embedding"), scale).alias("whole"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    rows = written(rows.where("whole is not null").withColumns({"dim": F.size("whole"), "asks": queries}), "pivot-rows")
-    # One row for each length of vectors: how many rows, blocks of rows and blocks of queries it has.
-    sizes = rows.groupBy("dim").agg(F.count("*").alias("rows"), F.count(F.when(F.col("asks"), 1)).alias("asking"))
-    sizes = sizes.withColumn("n", F.ceil(F.col("rows") / block)).withColumn("asked", F.ceil(F.col("asking") / query_block))
-    rows = join_hot(rows, sizes.where("asked > 0"), "dim", "rows", rows.count())
+    rows = numbered(vectors, "pivot-rows", queries.alias("asks"))
+    rows = counted(rows, n=(F.lit(True), block), asked=(F.col("asks"), query_block)).where("asked > 0")
     # The stated queries against all rows, block by block.
     to_all = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    candidates = _packed(rows, "n", 1).withColumn("query_block", to_all("asked")).select("dim", "block", "query_block", "members")
-    asked = _packed(rows.where("asks"), "asked", 2).withColumnsRenamed({"block": "query_block", "members": "questions"})
-    asked = asked.withColumn("block", to_all("n")).select("dim", "block", "query_block", "questions")
-    pairs = candidates.join(asked.hint("shuffle_hash"), ["dim", "block", "query_block"]).select("members", F.col("questions").alias("asked"))
+    sizes = rows.groupBy("dim").agg(F.first("n").alias("n"), F.first("asked").alias("asked"))
+    candidates = packed(rows, "n", 1, "row", "vec_id", "x").join(sizes.select("dim", "asked"), "dim")
+    candidates = candidates.withColumn("query_block", to_all("asked")).drop("asked")
+    questions = packed(rows.where("asks"), "asked", 2, "row", "vec_id", "x").withColumnsRenamed({"block": "query_block", "members": "questions"})
+    questions = questions.join(sizes.select("dim", "n"), "dim").withColumn("block", to_all("n")).drop("n")
+    pairs = candidates.join(questions.hint("shuffle_hash"), ["dim", "block", "query_block"]).select("members", "questions")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for members, asked in zip(batch.column("members"), batch.column("asked")):
-                x_rows, x_ids, x_null, x = _table(members)
-                q_rows, q_ids, _, q = _table(asked)
-                out = [[], [], [], [], []]
-                for at, found, scores in best_of_block(q, q_rows, x, x_rows, x_ids, k, pivots, step):
-                    n = len(found)
-                    columns = (np.full(n, q_rows[at]), np.full(n, q_ids[at]), x_rows[found], np.where(x_null[found], -1, found), scores)
-                    for to, values in zip(out, columns):
-                        to.append(values)
-                if not out[0]:
-                    continue
-                q_row, q_id, row, place, score = (np.concatenate(c) for c in out)
-                ids = pa.array(x_ids[np.maximum(place, 0)], mask=place < 0)
+            for members, asked in zip(batch.column("members"), batch.column("questions")):
+                of, out = members.values, ([], [], [], [])
+                for query_row, query_id, places, scores in _search(of, asked.values, k, scale, pivots, step):
+                    for to, values in zip(out, (np.full(len(places), query_row), np.full(len(places), query_id), places, scores)):
+                        to.extend(values)
+                places = pa.array(out[2], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_row), pa.array(q_id), pa.array(row), ids, pa.array(score)],
+                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), of.field("row").take(places), of.field("vec_id").take(places), pa.array(out[3], pa.int64())],
                     names=["query_row", "query_id", "row", "vec_id", "score"],
                 )
 

@@ -113,7 +113,7 @@ with docs as (
 ), items as (
   select *, case when len(v) >= 10 then 3 when len(v) >= 5 then 2 else len(v) end as run from (
     select distinct item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x != '') as v from benchmark where text is not null
-  ) where len(v) >= 5
+  ) where len(v) > 0
 ), item_runs as (
   select item_id, v, run, place, array_to_string(v[place + 1:place + run], ' ') as words
   from (select *, unnest(range(len(v) - run + 1)) as place from items)

@@ -10,9 +10,9 @@ With the given stretch and identity the masks lose nothing: wherever the unequal
 looks at equal words only, for 3 unequal words of 15, for 2 of 10 to 14, and for 1 of 5 to 9, whose masks are shorter.
 For another stretch or identity the masks have to be chosen anew.
 
-Words are stretches without space or the characters 9 to 13, in lower case. Items of fewer than `fewest` words are
-no passages and never match, not even exactly. Should `fewest` be less than 5, shorter items have one seed, of all
-their words, as the identity allows no unequal word there. Null and empty texts have no words. Rows with the same id and text count once. Null ids are kept as ids of their own.
+Words are stretches without space or the characters 9 to 13, in lower case. Items of fewer than 5 words have one seed, of
+all their words, as the identity allows no unequal word there. Items of fewer than `fewest` words are left out; who
+removes documents may not want those that hold a common word. Null and empty texts have no words. Rows with the same id and text count once. Null ids are kept as ids of their own.
 
 Everything is a DataFrame operation. The benchmark's seeds are counted and broadcast in blocks of at most
 `block_seeds`, so a larger benchmark takes more passes over the documents and not more memory.
@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rinse.llm.shared import written
+from rinse.llm.shared import free_name, written
 
 #: Which of 8 consecutive words a seed looks at, for items of at least LONG words.
 MASKS = ("111011", "11001011", "10100111")
@@ -65,7 +65,7 @@ def overlaps(
     *,
     masks: tuple[str, ...] = MASKS,
     short_masks: tuple[str, ...] = SHORT_MASKS,
-    fewest: int = 5,
+    fewest: int = 1,
     stretch: int = 15,
     identity: float = 0.8,
     block_seeds: int = 500_000,
@@ -132,8 +132,13 @@ def overlaps(
 
 
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The documents that overlap with no item, with all their columns."""
-    names = dict.fromkeys(("doc_id", "text_hash"))
-    found = overlaps(docs, benchmark, **settings).select(*[F.col(n).alias(f"_leak_{n}") for n in names]).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_leak_doc_id")) & (F.xxhash64("text") == F.col("_leak_text_hash"))
+    """The documents that overlap with no item, with all their columns.
+
+    Documents that do are few beside those that don't, or many; they are told by id and checksum of the text, and
+    Spark broadcasts them if they are small enough.
+    """
+    doc, text = free_name(docs, "leak_doc"), free_name(docs, "leak_text")
+    found = overlaps(docs.select("doc_id", "text"), benchmark, **settings)
+    found = found.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text))
     return docs.join(found, same, "left_anti")

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from rinse.llm import pivot_topk
@@ -56,7 +57,17 @@ def test_same_as_comparing_all(spark):
 
 def test_large_values_are_exact(spark):
     rows = [(i, [x * 4000 for x in v]) for i, v in enumerate(vectors(120))] + [(200, [2.0**18] * 8), (300, [2.0**21] * 8)]
-    assert found(spark, rows) == plain(rows[:-1])
+    assert found(spark, rows) == plain(rows)
+
+
+def test_no_finite_vector_is_dropped(spark):
+    rows = [(50, [2.0**19, 1.0]), (1, [1.0, 2.0]), (2, [-1.0, 0.5]), (100, [2.0**60, 0.0]), (3, [0.0, 2.0**18]), (4, [0.0, -(2.0**18)])]
+    rows += [(10 + i, v) for i, v in enumerate(vectors(20, 2))]
+    with pytest.raises(Exception, match="does not fit a long"):
+        found(spark, rows)
+    rows[3] = (100, [0.0, 2.0**28])
+    got = found(spark, rows)
+    assert got == plain(rows) and sum(1 for q, *_ in got if q == 50) == 5
 
 
 def test_search_stops_early():

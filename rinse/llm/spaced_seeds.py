@@ -36,9 +36,10 @@ SHORT = 5
 
 
 def word_hashes(text: Column) -> Column:
-    """A hash of each word, in order."""
-    words = F.split(F.btrim(F.lower(text), F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+")
-    return F.transform(words, lambda w: F.xxhash64(w))
+    """A hash of each word, in order; null where there is none."""
+    inner = F.btrim(F.lower(text), F.lit(" \t\n\x0b\f\r"))
+    words = F.split(inner, r"[\x20\x09-\x0D]+")
+    return F.when(inner != "", F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def _seed(words: Column, at: Column, mask: str, number: int) -> Column:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rinse.llm.bytewords import mix, span_hashes, spans, text_slices
-from rinse.llm.shared import shared_folder, tasks, written
+from rinse.llm.shared import shared_folder, store_of as _store, tasks, written
 
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _FLUSH = 4_000_000
@@ -123,10 +123,6 @@ def _rows(found: list[tuple[int, int, bytes]]) -> pa.Table:
 _ROWS = "bucket int, kind int, blob binary"
 
 
-def _store(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (fs.LocalFileSystem(), folder)
-
-
 def _write(folder: str, name: str, content: bytes) -> None:
     """Writes a file whole; a repeated task puts the same content in its place."""
     store, path = _store(folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 from rinse.sources.scratch import scratch_folder
@@ -35,3 +36,8 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a shared folder, as tasks use it, and the path in it."""
+    return fs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (fs.LocalFileSystem(), folder)

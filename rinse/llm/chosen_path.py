@@ -3,12 +3,15 @@
 Texts are sets of hashed word n-grams. Equal texts are one set with a number of copies. Each set is represented by
 `coordinates` min-hashes, of which two sets share each with the probability of their Jaccard similarity. In every run
 the sets are split recursively: a node of the recursion samples two coordinates by its path, and a set goes to one
-child for each, named by the token it has there. Children of at most `bucket` sets are compared by brute force;
-larger ones are split again, down to `depth`, and those that are large even then are compared by brute force in
-tiles. A pair of similarity s survives a level with probability 1 - (1 - s(1 - q))**2, where q is its loss below, and
+child for each, named by the token it has there. Children of at most `bucket` sets are compared by brute force. Of a
+larger one, a few leaders are compared with all its sets first. Sets that are alike to leaders which such sets join are in one
+group whatever else they have in common, so a bucket with no other set is finished, and one with at most `bucket` others
+compares just these with all. What is left is split again, down to `depth`, and what is large even then is compared by
+brute force in tiles. So a large group of near copies is not carried through the levels. A pair of similarity s survives a level with probability 1 - (1 - s(1 - q))**2, where q is its loss below, and
 runs are repeated until a pair at the threshold is lost less often than `1 - recall`.
 
-Comparison in buckets uses the min-hashes with a margin of four standard deviations. What passes connects sets to
+Comparison in buckets uses the min-hashes with a margin of six standard deviations, which loses another 3e-8 of the pairs
+at the threshold, in all runs alike. What passes connects sets to
 groups, and inside each group, whole or in tiles, every pair is compared exactly once by its n-grams, so similarities
 and numbers of links are exact and no pair leaves a task. Components of the exact links are the classes.
 
@@ -33,6 +36,8 @@ from rinse.llm.components import components, join_hot
 from rinse.llm.shared import tasks, written
 
 _CHILDREN = 2
+_DEVIATIONS = 6
+_LEADERS = 8
 
 
 def runs_for(recall: float, threshold: float, depth: int) -> int:
@@ -161,6 +166,83 @@ def _compared(groups: DataFrame, coordinates: int, least: int) -> DataFrame:
     return groups.select("members").mapInArrow(compare, "u binary, v binary")
 
 
+def _joined_leaders(masks: list[int]) -> int:
+    """The leaders that sets with these masks (which leaders a set is alike to) join with the first leader."""
+    main, last = 1, 0
+    while main != last:
+        last = main
+        for mask in masks:
+            if mask & main:
+                main |= mask
+    return main
+
+
+def _led(large: DataFrame, total: int, coordinates: int, least: int, bucket: int, tile: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(edges, groups to be compared with members as in _compared, rows of buckets that remain) of large buckets.
+
+    `large` has path, node, signature and size.
+    """
+    chosen = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "signature")).alias(f"l{i}") for i in range(_LEADERS)]
+    heads = large.groupBy("path").agg(F.count("*").alias("size"), *chosen)
+    fields = {"heads": "node", "signatures": "signature"}
+    heads = heads.select("path", "size", *[F.array(*[F.col(f"l{i}")[of] for i in range(_LEADERS)]).alias(to) for to, of in fields.items()])
+    joined = join_hot(large.select("path", "node", "signature"), written(heads, "path-heads"), "path", "size", total)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = _matrix(batch.column("signature"), coordinates)
+            of_heads = _matrix(batch.column("signatures").flatten(), coordinates).reshape(len(own), _LEADERS, coordinates)
+            mask = np.zeros(len(own), dtype=np.int32)
+            for i in range(_LEADERS):
+                mask |= ((own == of_heads[:, i]).sum(axis=1) >= least).astype(np.int32) << i
+            names = ["path", "node", "signature", "size", "heads"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(mask)], names=[*names, "mask"])
+
+    marked = joined.mapInArrow(mark, "path bigint, node binary, signature binary, size bigint, heads array<binary>, mask int")
+    marked = written(marked, "path-marked")
+    # At most 2**_LEADERS masks for a path.
+    masks = marked.groupBy("path", "mask").agg(F.count("*").alias("n"), F.first("heads").alias("heads"))
+    seen = masks.groupBy("path").agg(
+        F.collect_list("mask").alias("masks"), F.collect_list("n").alias("counts"), F.first("heads").alias("heads"), F.sum("n").alias("size")
+    )
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mains, rests, us, vs = [], [], [], []
+            rows = zip(*[batch.column(n).to_pylist() for n in ("masks", "counts", "heads")])
+            for masks, counts, heads in rows:
+                main = _joined_leaders(masks)
+                mains.append(main)
+                rests.append(sum(n for mask, n in zip(masks, counts) if not mask & main))
+                # Leaders that one set is alike to are joined by it.
+                pairs = {(heads[i], heads[j]) for mask in masks for i in range(_LEADERS) for j in range(i) if mask >> i & mask >> j & 1}
+                us.append([u for u, _ in pairs])
+                vs.append([v for _, v in pairs])
+            arrays = [batch.column("path"), batch.column("size"), pa.array(mains, pa.int32()), pa.array(rests, pa.int64())]
+            lists = [pa.array(x, pa.list_(pa.binary())) for x in (us, vs)]
+            yield pa.RecordBatch.from_arrays([*arrays, *lists], names=["path", "size", "main", "rest", "us", "vs"])
+
+    kinds = "path bigint, size bigint, main int, rest bigint, us array<binary>, vs array<binary>"
+    seen = written(seen.mapInArrow(judge, kinds), "path-seen")
+    lowest = F.expr(" ".join(["case", *[f"when mask & {1 << i} != 0 then heads[{i}]" for i in range(_LEADERS)], "end"]))
+    edges = marked.where("mask != 0").select(F.col("node").alias("u"), lowest.alias("v")).unionByName(
+        seen.select(F.explode(F.arrays_zip("us", "vs")).alias("e")).select(F.col("e.us").alias("u"), F.col("e.vs").alias("v"))
+    )
+    open_paths = seen.where("rest > 0").select("path", "size", "main", "rest")
+    rows = join_hot(marked.select("path", "node", "signature", "mask"), open_paths, "path", "size", total)
+    few = rows.where(F.col("rest") <= bucket).withColumn("other", F.expr("mask & main = 0"))
+    parts = F.ceil(F.col("size") / tile)
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
+    member = F.struct(F.col("other").cast("int").alias("side"), "node", "signature")
+    # The others go to each part of the rest, and meet among themselves in a group of their own.
+    spread = few.where("not other").withColumn("part", F.pmod(F.xxhash64("node"), parts)).unionByName(few.where("other").withColumn("part", every))
+    spread = spread.unionByName(few.where("other").withColumn("part", F.lit(-1).cast("bigint")).withColumn("other", F.lit(False)))
+    groups = spread.groupBy("path", "part").agg(F.collect_list(member).alias("members"))
+    return edges.where("u != v"), groups, rows.where(F.col("rest") > bucket).select("path", "node", "signature", "size")
+
+
 def _tiled(rows: DataFrame, parts: Column) -> DataFrame:
     """Deals the rows of a group to `parts` parts and repeats them for each pair of parts: columns a, b and side.
 
@@ -225,7 +307,7 @@ def jaccard_classes(
     sets = texts.where("signature is not null").select("node", "signature")
 
     runs = runs_for(recall, threshold, depth)
-    least = math.ceil(coordinates * (threshold - 4 * math.sqrt(threshold * (1 - threshold) / coordinates)))
+    least = math.ceil(coordinates * (threshold - _DEVIATIONS * math.sqrt(threshold * (1 - threshold) / coordinates)))
     roots = mix(np.arange(1, runs + 1, dtype=np.uint64)).astype(np.int64).tolist()
     paths = sets.withColumn("path", F.explode(F.array(*[F.lit(r) for r in roots])))
     edges = None
@@ -236,8 +318,12 @@ def jaccard_classes(
         sized = written(join_hot(rows, sizes, "path", "size", total).join(sets, "node"), "path-sized")
         small = sized.where(F.col("size") <= bucket).withColumn("side", F.lit(0)).groupBy("path")
         found = _compared(small.agg(F.collect_list(F.struct("side", "node", "signature")).alias("members")), coordinates, least)
-        paths = sized.where(F.col("size") > bucket)
-        if level == depth:
+        large = sized.where(F.col("size") > bucket)
+        edges_to_leaders, groups, paths = _led(large, large.count(), coordinates, least, bucket, signature_tile)
+        found = found.unionByName(_compared(groups, coordinates, least)).unionByName(edges_to_leaders)
+        if level < depth:
+            paths = written(paths, "path-open")
+        else:
             tiles = _tiled(paths, F.ceil(F.col("size") / signature_tile)).groupBy("path", "a", "b")
             tiles = tiles.agg(F.collect_list(F.struct("side", "node", "signature")).alias("members"))
             found = found.unionByName(_compared(tiles, coordinates, least))

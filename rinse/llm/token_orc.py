@@ -17,6 +17,7 @@ are, as 32-bit patterns.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rinse.llm.bytewords import lists, span_hashes, text_slices
+from rinse.llm.bytewords import eights, lists, mix, text_slices
 from rinse.llm.shared import tasks
 
 STORED = "doc_id bigint, part int, start bigint, n_tokens int, ids array<int>"
@@ -41,6 +42,8 @@ _CLASS[9:14] = _BREAK
 _CLASS[128:] = _FOREIGN
 _QUOTE = 39
 _REMEMBERED = 2_000_000
+_SHORT = 15
+_FRONT = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def unit_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +82,7 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class Encoder:
-    """Encodes texts with a tokenizer of the tokenizers library, and remembers the ids of units."""
+    """Encodes texts with a tokenizer of the tokenizers library, and remembers the ids of units of up to 15 bytes."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -88,13 +91,20 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Their strings in a text become their single ids, as the tokenizer does by default.
         self.added = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.by_units = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in repr(
-            self.tokenizer.pre_tokenizer
+        rules = json.loads(self.tokenizer.to_str())
+        split = rules["pre_tokenizer"] or {}
+        self.by_units = (
+            rules["normalizer"] is None
+            and split.get("type") == "ByteLevel"
+            and split.get("use_regex", True)
+            and not split["add_prefix_space"]
         )
         self.forget()
 
     def forget(self) -> None:
-        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Each remembered unit by a key, its bytes and length as two integers, and where its ids stand.
+        self.keys, self.front, self.back = (np.zeros(0, np.uint64) for _ in range(3))
+        self.at, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
@@ -126,19 +136,56 @@ class Encoder:
             starts[offsets[row]] = True
         starts = np.flatnonzero(starts)
         ends = np.append(starts[1:], len(data))
-        keys = span_hashes(data, starts, ends, lower=False)
+        length = ends - starts
+        short = np.flatnonzero(length <= _SHORT)
+        counts, first_id = np.zeros(len(starts), dtype=np.int64), np.zeros(len(starts), dtype=np.int64)
+        at = self._remembered(data, raw, starts[short], ends[short])
+        if at is None:
+            own = np.arange(len(starts))
+        else:
+            counts[short], first_id[short] = self.n[at], self.at[at]
+            own = np.flatnonzero(length > _SHORT)
+        # Long units, once each.
+        pieces = [raw[s:e] for s, e in zip(starts[own].tolist(), ends[own].tolist())]
+        different = list(dict.fromkeys(pieces))
+        found = self._whole([x.decode() for x in different])
+        sizes = np.array([len(x) for x in found], dtype=np.int64)
+        place = {piece: k for k, piece in enumerate(different)}
+        which = np.array([place[piece] for piece in pieces], dtype=np.int64)
+        more = np.fromiter((i for ids in found for i in ids), dtype=np.int64, count=int(sizes.sum())).astype(np.int32)
+        if len(own):
+            counts[own], first_id[own] = sizes[which], (np.cumsum(sizes) - sizes)[which]
+        first = np.zeros(len(starts) + 1, dtype=np.int64)
+        np.cumsum(counts, out=first[1:])
+        ids_at = np.repeat(first_id - first[:-1], counts) + np.arange(first[-1])
+        of_own = np.zeros(len(starts), dtype=bool)
+        of_own[own] = True
+        of_own = np.repeat(of_own, counts)
+        flat = np.empty(len(ids_at), dtype=np.int32)
+        flat[~of_own], flat[of_own] = self.ids[ids_at[~of_own]], more[ids_at[of_own]]
+        unit_of = np.searchsorted(starts, offsets)
+        return flat, np.diff(first[unit_of])
+
+    def _remembered(self, data: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """Where the memory has these short units, which it learns if need be.
+
+        Units are looked up by a key and compared byte by byte; None where two of them share a key.
+        """
+        length, words = ends - starts, eights(data)
+        front = words[starts] & _FRONT[np.minimum(length, 8)]
+        back = words[np.minimum(starts + 8, len(data))] & _FRONT[np.maximum(length - 8, 0)] | length.astype(np.uint64) << np.uint64(56)
+        keys = mix(front ^ mix(back))
         distinct, sample, which = np.unique(keys, return_index=True, return_inverse=True)
+        if (front != front[sample][which]).any() or (back != back[sample][which]).any():
+            return None
         at, known = self._find(distinct)
         if not known.all():
-            self._learn(raw, distinct[~known], starts[sample[~known]], ends[sample[~known]])
+            new = sample[~known]
+            self._learn(raw, distinct[~known], front[new], back[new], starts[new], ends[new])
             at, _ = self._find(distinct)
-        at = at[which]
-        counts = self.n[at]
-        first = np.zeros(len(at) + 1, dtype=np.int64)
-        np.cumsum(counts, out=first[1:])
-        flat = self.ids[np.repeat(self.at[at] - first[:-1], counts) + np.arange(first[-1])]
-        unit_of = np.searchsorted(starts, offsets)
-        return flat, np.diff(first[unit_of])
+        if (self.front[at] != front[sample]).any() or (self.back[at] != back[sample]).any():
+            return None
+        return at[which]
 
     def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.keys, keys)
@@ -146,7 +193,7 @@ class Encoder:
         known = self.keys[inside] == keys if len(self.keys) else np.zeros(len(keys), dtype=bool)
         return inside, known
 
-    def _learn(self, raw: bytes, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+    def _learn(self, raw: bytes, keys: np.ndarray, front: np.ndarray, back: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         texts = [raw[s:e].decode() for s, e in zip(starts.tolist(), ends.tolist())]
         found = self._whole(texts)
         n = np.array([len(x) for x in found], dtype=np.int64)
@@ -154,8 +201,9 @@ class Encoder:
         new = np.fromiter((i for ids in found for i in ids), dtype=np.int64, count=int(n.sum())).astype(np.int32)
         self.ids = np.concatenate([self.ids, new])
         place = np.searchsorted(self.keys, keys)
-        self.keys, self.at, self.n = (
-            np.insert(old, place, x) for old, x in ((self.keys, keys), (self.at, at), (self.n, n))
+        self.keys, self.front, self.back, self.at, self.n = (
+            np.insert(old, place, x)
+            for old, x in ((self.keys, keys), (self.front, front), (self.back, back), (self.at, at), (self.n, n))
         )
 
     def tidy(self) -> None:

@@ -108,3 +108,38 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in rows}
     want = {k: 0 for k in range(900)} | {k: 1000 for k in range(1000, 1061)} | {3000: 3000, 3001: 3000}
     assert got == want and len(rows) == len(want)
+
+
+def thue_morse(n, other=0):
+    return "".join("ab"[(bin(i).count("1") + other) % 2] for i in range(n))
+
+
+def test_words_are_told_apart(spark):
+    rows = [(k, f"{thue_morse(2048, k)} is one word") for k in range(2)] + [(2 + k, thue_morse(1024, k)) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = chosen_path.with_classes(docs, chosen_path.jaccard_classes(docs))
+    assert {(r.doc_id, r.class_id, r.n_links) for r in found.collect()} == {(k, k, 0) for k in range(4)}
+
+
+def test_a_large_group_is_not_carried_through_the_levels(spark, monkeypatch):
+    base = some(150)
+    texts = {" ".join(edited(base, RNG.randint(1, 3))) for _ in range(600)}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(sorted(texts))], "doc_id bigint, text string")
+    rows = []
+    counted = chosen_path._children
+
+    def counting(paths, coordinates):
+        out = counted(paths, coordinates)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(chosen_path, "_children", counting)
+    found = chosen_path.with_classes(docs, chosen_path.jaccard_classes(docs))
+    assert Counter(r.n_links for r in found.collect()) == Counter(n for _, n in plain([(i, t) for i, t in enumerate(sorted(texts))]).values())
+    assert rows[0] >= 10 * len(texts) and sum(rows[1:]) == 0
+
+
+def test_leaders():
+    assert chosen_path._joined_leaders([]) == 1
+    assert chosen_path._joined_leaders([0b0011, 0b0110, 0b1000, 0]) == 0b0111
+    assert chosen_path._joined_leaders([0b1100, 0b0110, 0b0011]) == 0b1111

@@ -106,3 +106,11 @@ def test_query(spark):
         assert (r.n_tokens, r.n_known, r.base_score, r.score) == pytest.approx(plain.score(d.text))
     unseen = [r for r in rows.values() if r.held_out]
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
+
+
+def test_words_of_equal_sums_are_told_apart(spark):
+    words = ["".join("ab"[(bin(i).count("1") + k) % 2] for i in range(2048)) for k in range(2)]
+    docs = spark.createDataFrame([(0, f"{words[0]} {words[0]}"), (1, words[1])], "doc_id bigint, text string")
+    model = kn.train(docs.where("doc_id = 0"))
+    found = {r.doc_id: r.lm.n_known for r in kn.score(docs, model).select("doc_id", "lm").collect()}
+    assert found == {0: 3, 1: 1}  # the end is known

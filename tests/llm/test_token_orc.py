@@ -100,3 +100,17 @@ def test_query(spark):
     encode = plain()
     want = {d.doc_id: np.array([*encode(d.text), 0], dtype="<u4") for d in docs}
     assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in rows} == {k: (len(v), zlib.crc32(v.tobytes())) for k, v in want.items()}
+
+
+def test_units_of_equal_sums_are_told_apart():
+    thue_morse = lambda n, other: "".join("ab"[(bin(i).count("1") + other) % 2] for i in range(n))
+    texts = [thue_morse(n, k) for n in (8, 15, 16, 17, 1024, 2048) for k in range(2)] + ["a\0", "a", "a\0\0", "\0" * 8, "\0" * 7]
+    encode = plain()
+    assert by_units(texts) == [encode(x) for x in texts]
+    encoder = token_orc.Encoder(PATH)
+    encoder._find = lambda keys: (np.zeros(len(keys), dtype=np.int64), np.ones(len(keys), dtype=bool))  # every key is taken for the first
+    for _, _, data, offsets in text_slices(pa.array(["some other text"])):
+        encoder.keys, encoder.front, encoder.back = (np.zeros(1, np.uint64) for _ in range(3))
+        flat, _ = encoder.encode(data, offsets)
+        assert flat.tolist() == encode("some other text")
+

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rinse.llm.bytewords import mix, span_hashes, spans, text_slices
-from rinse.llm.components import components, join_hot
+from rinse.llm.components import components, join_hot, may_be_among
 from rinse.llm.shared import tasks, written
 
 _CHILDREN = 2
@@ -335,7 +335,9 @@ def jaccard_classes(
     in_groups = groups.count()
     grouped = join_hot(groups, group_sizes, "component", "members", in_groups)
     grouped = grouped.join(texts.select("node", F.col("doc_id").alias("_id"), "copies"), "node")
-    whole = with_node.join(
+    # Most texts are in no group, and are not shuffled.
+    asked = may_be_among(with_node, F.col("node"), groups, F.col("node"), "asked").where("asked").drop("asked")
+    whole = asked.join(
         grouped.withColumnRenamed("node", "_node"), (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     ).dropDuplicates(["node"])
     tiles = _tiled(whole, F.ceil(F.col("members") / tile))
@@ -435,9 +437,17 @@ def with_classes(docs: DataFrame, found: JaccardClasses) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, found: JaccardClasses) -> DataFrame:
-    """The documents without copies or links, and of each class the one with the least id; all columns stay."""
-    linked = found.linked.select(F.col("node").alias("_node"), F.col("class_node").alias("_class"), F.col("class_id").alias("_id"))
-    rows = docs.withColumn("_own", text_node()).join(linked, F.col("_own") == F.col("_node"), "left")
-    alone = rows.where("_node is null")
-    least = rows.where(F.col("_node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["_class"])
-    return alone.unionByName(least).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents without copies or links, and of each class the one with the least id; all columns stay.
+
+    Rows are packed while names are given, so columns of any name are kept. Only documents that may have copies or links
+    are shuffled.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.withColumn("own", text_node("row.text"))
+    linked = found.linked.select(F.col("node").alias("own"), "class_node", "class_id", "copies")
+    rows = may_be_among(rows, F.col("own"), linked, F.col("own"), "asked")
+    total = found.texts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    joined = join_hot(rows.where("asked and own is not null").drop("asked"), linked, "own", "copies", total, "left")
+    alone = joined.where("class_node is null").select("row")
+    least = joined.where(F.col("class_node").isNotNull() & F.col("row.doc_id").eqNullSafe(F.col("class_id"))).dropDuplicates(["class_node"])
+    return rows.where("not asked or own is null").select("row").unionByName(alone).unionByName(least.select("row")).select("row.*")

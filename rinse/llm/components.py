@@ -8,7 +8,7 @@ are at most a thousand, and their rows are broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rinse.llm.shared import written
@@ -16,8 +16,8 @@ from rinse.llm.shared import written
 _HOT = 500
 
 
-def join_hot(rows: DataFrame, found: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """Inner join of `rows` with one row of `found` per key; `size` counts the rows of that key among `total`.
+def join_hot(rows: DataFrame, found: DataFrame, key: str, size: str, total: int, how: str = "inner") -> DataFrame:
+    """Join (inner or left) of `rows` with one row of `found` per key; `size` counts the rows of that key among `total`.
 
     Keys with more than a 500th of the rows, of which there are fewer than 500, meet their rows by broadcast.
     """
@@ -25,7 +25,23 @@ def join_hot(rows: DataFrame, found: DataFrame, key: str, size: str, total: int)
     hot = found.where(F.col(size) > limit)
     cold = found.where(F.col(size) <= limit)
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(cold, key, how))
+
+
+def may_be_among(rows: DataFrame, key: Column, found: DataFrame, of_found: Column, into: str, bits: int = 25) -> DataFrame:
+    """Adds the boolean `into`: false where `key` is surely none of the keys `of_found` of `found`.
+
+    So that rows which a join would leave as they are need not be shuffled for it. Hashes of the keys set bits of a map
+    of 2**`bits` bits, which is broadcast as rows of 64 bits, at most 2**(`bits` - 6) however many keys there are.
+    """
+    places = found.select(F.pmod(F.xxhash64(of_found), F.lit(1 << bits)).alias("at"))
+    word, bit = F.expr("at div 64"), F.expr("shiftleft(1L, int(at % 64))")
+    words = written(places.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("mask")), "key-bits")
+    own = F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    joined = rows.withColumn(into, own).join(F.broadcast(words), F.expr(f"`{into}` div 64") == F.col("word"), "left")
+    hit = F.coalesce(F.expr(f"(mask & shiftleft(1L, int(`{into}` % 64))) != 0"), F.lit(False))
+    return joined.select(*names, hit.alias(into))
 
 
 def _star(edges: DataFrame, total: int) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rinse.llm.components import join_hot
+from rinse.llm.components import join_hot, may_be_among
 from rinse.llm.shared import written
 
 #: Relative standard error of a sketch with 2**k registers is about 1.04 / sqrt(2**k); four of them are the margin.
@@ -60,13 +60,21 @@ def without_spread_lines(
     placed = placed.select("key", "at", F.xxhash64("text").alias("line"), F.xxhash64(F.lit(1), "text").alias("check"))
     leaves = join_hot(placed, bad, "line", "n", total).where("check = _check").select("key", "at").distinct()
     leaves = leaves.groupBy("key").agg(F.array_sort(F.collect_list("at")).alias("_leaves"))
-    joined = rows.withColumn("_key", text_key).join(leaves.withColumnRenamed("key", "_of"), F.col("_key") == F.col("_of"), "left")
-    leaves = F.coalesce("_leaves", F.array().cast("array<int>"))
-    lines = F.split("text", "\n", -1)
+    # Rows are packed while names are given, so columns of any name are kept.
+    packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")).withColumn("key", F.md5(F.col("row.text").cast("binary")))
+    leaves = written(leaves, "line-leaves")
+    packed = may_be_among(packed, F.col("key"), leaves, F.col("key"), "asked")
+    untouched = packed.where("not asked or key is null").select("row", F.array().cast("array<int>").alias("leaves"))
+    copies = docs.groupBy(text_key.alias("key")).agg(F.count("*").alias("n"))
+    of_text = written(leaves.join(copies, "key"), "line-texts")
+    touched = join_hot(packed.where("asked and key is not null"), of_text, "key", "n", docs.count(), "left")
+    touched = touched.select("row", F.coalesce("_leaves", F.array().cast("array<int>")).alias("leaves"))
+    leaves, text = F.col("leaves"), F.col("row.text")
+    lines = F.split(text, "\n", -1)
     kept = F.array_join(F.filter(lines, lambda x, at: ~F.array_contains(leaves, at)), "\n")
     result = F.struct(
         F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
         leaves.alias("removed"),
-        F.when(F.size(leaves) == 0, F.col("text")).otherwise(kept).alias("kept"),
+        F.when(F.size(leaves) == 0, text).otherwise(kept).alias("kept"),
     )
-    return joined.withColumn(into, result).select(*[F.col(f"`{c}`") for c in rows.columns], into)
+    return untouched.unionByName(touched).select("row.*", result.alias(into))

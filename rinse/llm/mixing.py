@@ -210,21 +210,24 @@ def mix_sources(
 def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
     """The rows of `docs` of which the mix reads words, repeated for each pass that does; all columns stay.
 
-    Rows with the same id, source and number of words share what the mix gave them, in the order of their texts.
+    Rows with the same id, source and number of words share what the mix gave them, the most passes in the order of
+    their texts. Rows are packed while names are given, so columns of any name are kept, and are shuffled once.
     """
-    mixed = mix_sources(docs, **settings).documents
-    same = Window.partitionBy("doc_id", "source", "size").orderBy(F.col("taken").desc(), "passes")
-    given = mixed.select(
-        F.col("doc_id").alias("_doc"), F.col("source").alias("_from"), F.col("size").alias("_words"), "passes", F.row_number().over(same).alias("_at")
-    ).select("_doc", "_from", "_words", "_at", F.col("passes").alias("_passes")).where("_passes > 0")
-    own = F.row_number().over(Window.partitionBy("doc_id", "source", "_size").orderBy("_hash"))
-    rows = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_hash", F.xxhash64("text")).withColumn("_own", own)
-    joined = rows.join(
-        given,
-        F.col("doc_id").eqNullSafe(F.col("_doc"))
-        & F.col("source").cast("string").eqNullSafe(F.col("_from"))
-        & (F.col("_size") == F.col("_words"))
-        & (F.col("_own") == F.col("_at")),
-    )
-    repeated = joined.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_passes"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    mixed = mix_sources(docs.select("doc_id", "source", "text"), **settings).documents
+    # Null ids and sources are keys like others.
+    key = lambda doc, source, size: F.to_json(F.struct(doc.alias("d"), source.cast("string").alias("s"), size.alias("n")))
+    given = mixed.select(key(F.col("doc_id"), F.col("source"), F.col("size")).alias("key"), "passes")
+    # How many rows of a key are read how often; there are no more numbers of passes than a source may be read.
+    counts = given.groupBy("key", "passes").agg(F.count("*").alias("n"))
+    by_key = counts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("passes", "n")), False).alias("shares"), F.max("passes").alias("most"))
+    by_key = written(by_key.where("most > 0"), "mix-passes")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, key(F.col("doc_id"), F.col("source"), word_count(F.col("text"))).alias("key"))
+    joined = rows.join(by_key, "key")
+    same = joined.where(F.size("shares") == 1).select("row", F.col("most").alias("passes"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row.text")))
+    mixed_keys = joined.where(F.size("shares") > 1).withColumn("place", place)
+    up_to = lambda k: F.aggregate(F.slice("shares", 1, k), F.lit(0).cast("bigint"), lambda total, x: total + x["n"])
+    own = F.filter("shares", lambda x, k: F.col("place") <= up_to(k + 1))[0]["passes"]
+    repeated = same.unionByName(mixed_keys.select("row", own.alias("passes"))).where("passes > 0")
+    return repeated.withColumn("pass", F.explode(F.sequence(F.lit(1).cast("bigint"), "passes"))).select("row.*")

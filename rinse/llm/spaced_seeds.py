@@ -25,7 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rinse.llm.shared import free_name, written
+from rinse.llm.components import may_be_among
+from rinse.llm.shared import written
 
 #: Which of 8 consecutive words a seed looks at, for items of at least LONG words.
 MASKS = ("111011", "11001011", "10100111")
@@ -133,13 +134,12 @@ def overlaps(
 
 
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The documents that overlap with no item, with all their columns.
-
-    Documents that do are few beside those that don't, or many; they are told by id and checksum of the text, and
-    Spark broadcasts them if they are small enough.
-    """
-    doc, text = free_name(docs, "leak_doc"), free_name(docs, "leak_text")
-    found = overlaps(docs.select("doc_id", "text"), benchmark, **settings)
-    found = found.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text)).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text))
-    return docs.join(found, same, "left_anti")
+    """The documents that overlap with no item, with all their columns. Only those that may overlap are shuffled."""
+    found = overlaps(docs.select("doc_id", "text"), benchmark, **settings).select("doc_id", "text_hash").distinct()
+    found = written(found, "overlapping")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.withColumns({"own": F.col("row.doc_id"), "own_text": F.xxhash64("row.text")})
+    rows = may_be_among(rows, F.struct("own", "own_text"), found, F.struct("doc_id", "text_hash"), "asked")
+    same = F.col("own").eqNullSafe(F.col("doc_id")) & (F.col("own_text") == F.col("text_hash"))
+    kept = rows.where("asked").join(found, same, "left_anti")
+    return rows.where("not asked").select("row").unionByName(kept.select("row")).select("row.*")

@@ -188,13 +188,15 @@ def _unzipped(content: bytes) -> bytes:
     """The content, unzipped if it is zipped; what is left of a member that is cut off is kept."""
     if content[:2] != b"\x1f\x8b":
         return content
-    out = []
-    while content[:2] == b"\x1f\x8b":
-        unpacker = zlib.decompressobj(31)
-        out.append(unpacker.decompress(content))
-        if not unpacker.eof:
-            break
-        content = unpacker.unused_data
+    view, at, out = memoryview(content), 0, []
+    while content[at : at + 2] == b"\x1f\x8b":
+        # In small pieces, as what is left of a piece behind a member is copied.
+        unpacker, piece = zlib.decompressobj(31), 2048
+        while not unpacker.eof and at < len(content):
+            out.append(unpacker.decompress(view[at : at + piece]))
+            at += min(piece, len(content) - at)
+            piece = 1 << 16
+        at -= len(unpacker.unused_data)
     return b"".join(out)
 
 

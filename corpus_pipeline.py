@@ -10,10 +10,11 @@ language statistics and sampled paths, so there is no SQL for it; tests compare
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rinse.llm import chosen_path, language_mixture, mixing, spaced_seeds, token_orc
 from rinse.llm.queries import public_tokenizer
-from rinse.llm.shared import shared_folder, table, written
+from rinse.llm.shared import free_name, shared_folder, table, written
 
 ORACLE_SQL = None
 
@@ -21,16 +22,21 @@ ORACLE_SQL = None
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter, and those whose words fit no mixture of languages better than noise."""
     model = language_mixture.learn_languages(docs)
-    found = language_mixture.predict_languages(docs, model, into="_language")
-    return found.where("_language.fits").select(*docs.columns)
+    into = free_name(docs, "language_mixture")
+    found = language_mixture.predict_languages(docs, model, into=into)
+    return found.where(F.col(into)["fits"]).drop(into)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that have no near copy, and of each class of near copies the one with the least id. Null
+    texts are nobody's copy; of rows that are equal one stays."""
     return chosen_path.one_of_each(docs, chosen_path.jaccard_classes(docs.select("doc_id", "text")))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return spaced_seeds.without_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    """Drops documents that overlap with an item of the benchmark. Items of fewer than five words are left out, as
+    documents with a common word or phrase are clean."""
+    return spaced_seeds.without_overlaps(docs, table(spark, sf_dir, "benchmark"), fewest=5)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,6 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the ids of all documents as ORC in ascending order of doc_id, null first, and returns their index."""
     to = shared_folder(spark, "tokens")
     token_orc.write_tokens(docs, to, public_tokenizer("byte_bpe_50k.json"))
     return token_orc.token_index(spark, to)

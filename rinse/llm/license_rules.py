@@ -8,6 +8,8 @@ reported as other licenses that its words hold.
 Words are stretches of letters, digits and characters over 127, with A-Z as a-z. Null and empty texts have no words
 and no detections; score is then 0. Long texts are scanned whole. Repeated rows are scanned each by itself.
 
+The score of the query is the largest priority among the detections that are kept, in hundredths, and 0 without one.
+
 `BASE` names phrases of which every place is counted, whatever the rules say.
 """
 
@@ -133,6 +135,132 @@ def _hand_written() -> list[Rule]:
     rules += _family("proprietary", "copying", (40, "unauthori[sz]ed copying of this file via any medium is strictly prohibited"))
     rules += _family("commercial", "commercial", (35, "commercial licen[sc]e"))
     rules += _family("eula", "end", (45, "end user licen[sc]e agreement"))
+    rules += _clauses() + _exceptions() + _others()
+    return rules
+
+
+def _clauses() -> list[Rule]:
+    """Sentences from the bodies of licenses, which stand without the name of the license."""
+    rules = []
+    rules += _family("mit", "copyright",
+        (70, "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"))
+    rules += _family("mit", "noninfringement", (60, "fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable"))
+    rules += _family("isc", "author", (60, "the software is provided as is and the author disclaims all warranties with regard to this software"))
+    rules += _family("bsd", "redistributions",
+        (75, "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+        (75, "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"))
+    rules += _family("bsd", "holders", (62, "this software is provided by the copyright holders and contributors as is and any express or implied warranties"))
+    rules += _family("bsd", "regents", (66, "this software is provided by the regents and contributors as is"))
+    rules += _family("apache-2.0", "apache", (84, "you may obtain a copy of the license at(?: http| https)? www apache org licenses license 2 0"))
+    rules += _family("apache", "applicable", (58, "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"))
+    rules += _family("apache-2.0", "contributor", (72, "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"))
+    rules += _family("gpl", "hope", (70, "this program is distributed in the hope that it will be useful but without any warranty"))
+    rules += _family("gpl", "copyleft", (66, "the gnu general public license is a free copyleft license for software"))
+    rules += _family("gpl", "program", (72, "you should have received a copy of the gnu general public license along with this program"))
+    rules += _family("gpl", "option", (64, "either version [23] of the license or at your option any later version"))
+    rules += _family("lgpl", "lesser", (76, "you should have received a copy of the gnu lesser general public license along with this (?:library|program)"))
+    rules += _family("lgpl", "library", (74, "this library is free software you can redistribute it and or modify it"))
+    rules += _family("agpl", "affero", (78, "you should have received a copy of the gnu affero general public license along with this program"))
+    rules += _family("agpl", "remotely", (70, "users interacting with it remotely through a computer network"))
+    rules += _family("mpl-2.0", "mozilla", (88, "if a copy of the mpl was not distributed with this file you can obtain one at(?: http| https)? mozilla org mpl 2 0"))
+    rules += _family("mpl-1.1", "mozilla", (84, "the contents of this file are subject to the mozilla public license version 1 1"))
+    rules += _family("epl-1.0", "eclipse", (86, "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0"))
+    rules += _family("epl-2.0", "eclipse", (86, "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"))
+    rules += _family("cddl", "common", (80, "the contents of this file are subject to the terms of the common development and distribution license"))
+    rules += _family("zlib", "misrepresented", (84, "the origin of this software must not be misrepresented you must not claim that you wrote the original software"))
+    rules += _family("zlib", "warranty", (70, "this software is provided as is without any express or implied warranty in no event will the authors be held liable"))
+    rules += _family("boost", "boost", (84, "distributed under the boost software license version 1 0"))
+    rules += _family("unlicense", "compile", (86, "anyone is free to copy modify publish use compile sell or distribute this software"))
+    rules += _family("unlicense", "unlicense", (84, "for more information please refer to(?: http| https)? unlicense org"))
+    rules += _family("ofl", "reserved", (72, "reserved font name(?: \\S+){1,6}? this font software is licensed under the sil open font license"))
+    rules += _family("cc0", "deed", (84, "the person who associated a work with this deed has dedicated the work to the public domain"))
+    rules += _family("cc0", "creative", (72, "creative commons zero(?: v1 0)?(?: universal)?"))
+    rules += _family("beerware", "beer", (80, "you can buy me a beer in return"))
+    rules += _family("beerware", "beerware", (66, "beerware licen[sc]e"))
+    rules += _family("hpnd", "documentation", (72, "permission to use copy modify and distribute this software and its documentation for any purpose(?: and without fee)? is hereby granted"))
+    rules += _family("proprietary", "confidential", (42, "this document contains confidential information"), (42, "strictly private and confidential"))
+    rules += _family("proprietary", "permission", (42, "may not be reproduced(?: or distributed)? without(?: the)?(?: prior)?(?: express)?(?: written)? permission"), (40, "no part of this publication may be reproduced(?: \\S+){0,20}? permission"))
+    rules += _family("proprietary", "personal", (38, "for personal use only"), (42, "for personal and non commercial use only"))
+    rules += _family("proprietary", "trade", (44, "trade secrets? of(?: \\S+){1,4}? and may not be disclosed"))
+    return rules
+
+
+def _exceptions() -> list[Rule]:
+    """Exceptions that go with a license."""
+    rules = []
+    rules += _family("gpl-with-classpath-exception", "classpath", (78, "classpath exception(?: 2 0)?"), (86, "gpl(?: 2 0| v2| version 2)? with (?:the )?classpath exception"))
+    rules += _family("gpl-with-gcc-exception", "gcc", (78, "gcc runtime library exception(?: version 3 1)?"), (80, "gpl with (?:the )?gcc(?: runtime library)? exception"))
+    rules += _family("gpl-with-font-exception", "font", (76, "gpl(?: 2 0| v2| version 2)? with (?:the )?font exception"))
+    rules += _family("gpl-with-bison-exception", "bison", (76, "gpl(?: 2 0| v2| version 2)? with (?:the )?bison exception"))
+    rules += _family("gpl-with-autoconf-exception", "autoconf", (76, "gpl(?: 2 0| 3 0| v2| v3)? with (?:the )?autoconf exception"))
+    rules += _family("gpl-with-linking-exception", "linking", (74, "gpl with (?:a |the )?linking exception"), (78, "linking this library statically or dynamically with other modules"))
+    rules += _family("apache-with-llvm-exception", "llvm", (84, "apache(?: licen[sc]e)?(?: v| version)? ?2 0 with llvm exceptions?"))
+    rules += _family("gpl-with-foss-exception", "foss", (72, "foss licen[sc]e exception"), (70, "universal foss exception"))
+    rules += _family("lgpl-with-static-linking-exception", "lgpl", (74, "lgpl with (?:a |the )?static linking exception"))
+    rules += _family("gpl-with-syscall-note", "syscall", (78, "linux syscall note"), (80, "gpl 2 0 with linux syscall note"))
+    return rules
+
+
+def _others() -> list[Rule]:
+    """Less frequent licenses by their names."""
+    rules = []
+    rules += _family("afl", "academic", (66, "academic free licen[sc]e(?: v| version)?(?: [123] [012])?"))
+    rules += _family("osl", "open", (66, "open software licen[sc]e(?: v| version)?(?: [123] [012])?"))
+    rules += _family("qpl", "public", (64, "q public licen[sc]e(?: version 1 0)?"))
+    rules += _family("ipl", "ibm", (66, "ibm public licen[sc]e(?: version 1 0)?"))
+    rules += _family("lppl", "latex", (68, "latex project public licen[sc]e(?: version 1 3c?)?"))
+    rules += _family("lppl", "lppl", (58, "lppl(?: 1 3c?)?"))
+    rules += _family("npl", "netscape", (66, "netscape public licen[sc]e(?: version 1 [01])?"))
+    rules += _family("spl", "sun", (66, "sun public licen[sc]e(?: version 1 0)?"))
+    rules += _family("sissl", "sun", (68, "sun industry standards source licen[sc]e"))
+    rules += _family("apsl", "apple", (66, "apple public source licen[sc]e(?: version [12] [012])?"))
+    rules += _family("rpl", "reciprocal", (64, "reciprocal public licen[sc]e(?: 1 [15])?"))
+    rules += _family("ecl", "educational", (66, "educational community licen[sc]e(?: version [12] 0)?"))
+    rules += _family("efl", "eiffel", (64, "eiffel forum licen[sc]e(?: version [12])?"))
+    rules += _family("fair", "fair", (50, "fair licen[sc]e"))
+    rules += _family("sleepycat", "sleepycat", (64, "sleepycat licen[sc]e"))
+    rules += _family("w3c", "w3c", (66, "w3c software(?: notice)? and(?: document)? licen[sc]e"), (60, "w3c licen[sc]e"))
+    rules += _family("x11", "x11", (58, "x11 licen[sc]e"))
+    rules += _family("json", "evil", (82, "the software shall be used for good not evil"))
+    rules += _family("json", "json", (58, "the json licen[sc]e"))
+    rules += _family("vim", "vim", (58, "vim licen[sc]e"))
+    rules += _family("curl", "curl", (58, "curl licen[sc]e"))
+    rules += _family("libpng", "libpng", (58, "libpng licen[sc]e"))
+    rules += _family("libpng", "png", (62, "png reference library licen[sc]e version 2"))
+    rules += _family("openldap", "openldap", (66, "openldap public licen[sc]e(?: version 2 8)?"))
+    rules += _family("nosa", "nasa", (68, "nasa open source agreement(?: version 1 3)?"))
+    rules += _family("intel", "intel", (60, "intel open source licen[sc]e"))
+    rules += _family("oclc", "oclc", (62, "oclc research public licen[sc]e"))
+    rules += _family("frameworx", "frameworx", (60, "frameworx licen[sc]e"))
+    rules += _family("motosoto", "motosoto", (60, "motosoto open source licen[sc]e"))
+    rules += _family("nethack", "nethack", (60, "nethack general public licen[sc]e"))
+    rules += _family("nokia", "nokia", (62, "nokia open source licen[sc]e"))
+    rules += _family("realnetworks", "realnetworks", (64, "realnetworks public source licen[sc]e"))
+    rules += _family("sugarcrm", "sugarcrm", (62, "sugarcrm public licen[sc]e"))
+    rules += _family("watcom", "watcom", (64, "sybase open watcom public licen[sc]e"))
+    rules += _family("xfree86", "xfree86", (62, "xfree86 licen[sc]e(?: 1 [01])?"))
+    rules += _family("zend", "zend", (60, "zend licen[sc]e(?: v?2 0)?"))
+    rules += _family("zpl", "zope", (64, "zope public licen[sc]e(?: version 2 [01])?"))
+    rules += _family("cecill", "cecill", (62, "cecill(?: [abc])?(?: licen[sc]e)?(?: version [12](?: [01])?)?"), (70, "cecill free software licen[sc]e agreement"))
+    rules += _family("mulan", "mulan", (66, "mulan (?:permissive software|psl) licen[sc]e(?: version 2)?"), (60, "mulan psl(?: v2)?"))
+    rules += _family("blueoak", "blue", (66, "blue oak model licen[sc]e(?: 1 0 0)?"))
+    rules += _family("bittorrent", "bittorrent", (64, "bittorrent open source licen[sc]e"))
+    rules += _family("polyform", "polyform", (70, "polyform (?:noncommercial|small business|shield|strict|perimeter|internal use) licen[sc]e(?: 1 0 0)?"))
+    rules += _family("commons-clause", "commons", (68, "commons clause(?: licen[sc]e)?(?: condition)?(?: v1 0)?"))
+    rules += _family("hippocratic", "hippocratic", (64, "hippocratic licen[sc]e"))
+    rules += _family("openrail", "openrail", (66, "openrail(?: m| s)?(?: licen[sc]e)?"))
+    rules += _family("openrail", "creativeml", (72, "creativeml open rail(?: m)? licen[sc]e"))
+    rules += _family("cdla-permissive", "community", (72, "community data licen[sc]e agreement permissive(?: version [12] 0)?"))
+    rules += _family("cdla-sharing", "community", (72, "community data licen[sc]e agreement sharing(?: version 1 0)?"))
+    rules += _family("ogl", "government", (66, "open government licen[sc]e(?: v[123] 0| version [123] 0)?"))
+    rules += _family("etalab", "etalab", (64, "etalab open licen[sc]e"), (64, "licence ouverte etalab"))
+    rules += _family("opl", "publication", (64, "open publication licen[sc]e(?: v?1 0)?"))
+    rules += _family("fdl", "art", (60, "free art licen[sc]e(?: 1 3)?"))
+    rules += _family("arphic", "arphic", (62, "arphic public licen[sc]e"))
+    rules += _family("ubuntu-font", "ubuntu", (66, "ubuntu font licen[sc]e(?: version 1 0)?"))
+    rules += _family("bitstream-vera", "bitstream", (66, "bitstream vera(?: fonts?)? (?:licen[sc]e|copyright)"))
+    rules += _family("llama", "llama", (66, "llama [23](?: [12])? community licen[sc]e(?: agreement)?"))
+    rules += _family("gemma", "gemma", (60, "gemma terms of use"))
     return rules
 
 
@@ -155,8 +283,9 @@ def _by_version() -> list[Rule]:
             rules.append(Rule(full, 82, keyword[label], f"version {number} of the {name}"))
             rules.append(Rule(full, 70, label, f"(?:gnu )?{label}(?: licen[sc]e)? ?v?(?:ersion )?{number}"))
             rules.append(Rule(full, 84, label, f"spdx license identifier {label} {number}(?: only)?"))
-            later = f"(?:{name}|{label})(?: as published by the free software foundation)? (?:either )?v?(?:ersion )?{number} or (?:at your option )?(?:any )?(?:newer|later)(?: version)?"
-            rules.append(Rule(f"{full}+", 86, "or", later))
+            later = f"(?: as published by the free software foundation)? (?:either )?v?(?:ersion )?{number} or (?:at your option )?(?:any )?(?:newer|later)(?: version)?"
+            rules.append(Rule(f"{full}+", 86, keyword[label], f"{name}{later}"))
+            rules.append(Rule(f"{full}+", 86, label, f"{label}{later}"))
     kinds = {"by": "attribution", "by-sa": "attribution sharealike", "by-nd": "attribution noderivatives", "by-nc": "attribution noncommercial",
              "by-nc-sa": "attribution noncommercial sharealike", "by-nc-nd": "attribution noncommercial noderivatives"}
     for kind, name in kinds.items():

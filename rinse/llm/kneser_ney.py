@@ -42,6 +42,7 @@ _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _FLUSH = 4_000_000
 _SLICE = 4 << 20
 _HOT = 65536
+_MAPPED = 4096
 _TOTALS, _WORDS, _CONTEXTS, _BEFORE = -1, 0, 1, 2
 
 
@@ -323,9 +324,12 @@ class Lookup:
         self.files: dict[str, list[np.ndarray]] = {}
 
     def _file(self, name: str) -> list[np.ndarray]:
-        if name not in self.files:
-            self.files[name] = _mapped(self.model.folder, name)
-        return self.files[name]
+        """The arrays of a file; those that were used longest ago are let go, as a process has a bounded number of mappings."""
+        arrays = self.files.pop(name) if name in self.files else _mapped(self.model.folder, name)
+        self.files[name] = arrays
+        if len(self.files) > _MAPPED:
+            del self.files[next(iter(self.files))]
+        return arrays
 
     def _found(self, kind: str, width: int, keys: np.ndarray, buckets: np.ndarray) -> np.ndarray:
         """The values of keys that are sorted within their buckets, which rise; 0 for what is not there."""

@@ -52,6 +52,7 @@ def found(spark, rows, **settings):
 def test_same_as_comparing_all(spark):
     want = plain(ROWS)
     assert found(spark, ROWS) == want
+    assert found(spark, ROWS, block=40, query_block=3, step=7, pivots=4, pilot=30) == want
     assert found(spark, ROWS, block=40, query_block=3, step=7, pivots=4) == want
 
 
@@ -98,3 +99,16 @@ def test_same_as_sql(spark, tmp_path):
     unique = {i: (i, v) for i, v in ROWS if i is not None}
     table_of(spark, list(unique.values())).write.parquet(str(tmp_path / "embeddings.parquet"))
     same_as_sql(spark, "op6_pivot_topk", tmp_path, ["embeddings"])
+
+
+def test_a_bound_from_the_pilot_skips_blocks():
+    draw = np.random.default_rng(3)
+    x = np.floor(draw.normal(0, 30, (2000, 4)))
+    rows = np.arange(2000)
+    stored = pivot_topk.pivot_table(x, 16)
+    scores = np.sort(x @ x[7])[::-1]
+    best = [at.tolist() for _, at, _ in pivot_topk.best_of_block(x[7:8], rows[7:8], x, rows, rows, 5, 16, 64, stored, np.array([scores[5]]))]
+    plain_best = [at.tolist() for _, at, _ in pivot_topk.best_of_block(x[7:8], rows[7:8], x, rows, rows, 5, 16, 64)]
+    assert best == plain_best
+    nothing = list(pivot_topk.best_of_block(x[7:8], rows[7:8], x, rows, rows, 5, 16, 64, stored, np.array([10.0**9])))
+    assert [len(at) for _, at, _ in nothing] == [0]

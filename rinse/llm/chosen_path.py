@@ -4,7 +4,7 @@ Texts are sets of hashed word n-grams. Equal texts are one set with a number of
 `coordinates` min-hashes, of which two sets share each with the probability of their Jaccard similarity. In every run
 the sets are split recursively: a node of the recursion samples two coordinates by its path, and a set goes to one
 child for each, named by the token it has there. Children of at most `bucket` sets are compared by brute force. Of a
-larger one, a few leaders are compared with all its sets first. Sets that are alike to leaders which such sets join are in one
+larger one, a few leaders are compared with all its sets on the first level. Sets that are alike to leaders which such sets join are in one
 group whatever else they have in common, so a bucket with no other set is finished, and one with at most `bucket` others
 compares just these with all. What is left is split again, down to `depth`, and what is large even then is compared by
 brute force in tiles. So a large group of near copies is not carried through the levels. A pair of similarity s survives a level with probability 1 - (1 - s(1 - q))**2, where q is its loss below, and
@@ -318,9 +318,10 @@ def jaccard_classes(
         sized = written(join_hot(rows, sizes, "path", "size", total).join(sets, "node"), "path-sized")
         small = sized.where(F.col("size") <= bucket).withColumn("side", F.lit(0)).groupBy("path")
         found = _compared(small.agg(F.collect_list(F.struct("side", "node", "signature")).alias("members")), coordinates, least)
-        large = sized.where(F.col("size") > bucket)
-        edges_to_leaders, groups, paths = _led(large, large.count(), coordinates, least, bucket, signature_tile)
-        found = found.unionByName(_compared(groups, coordinates, least)).unionByName(edges_to_leaders)
+        paths = sized.where(F.col("size") > bucket)
+        if level == 1:
+            led, groups, paths = _led(paths, paths.count(), coordinates, least, bucket, signature_tile)
+            found = found.unionByName(_compared(groups, coordinates, least)).unionByName(led)
         if level < depth:
             paths = written(paths, "path-open")
         else:
@@ -329,6 +330,8 @@ def jaccard_classes(
             found = found.unionByName(_compared(tiles, coordinates, least))
         found = written(found.distinct(), "path-edges")
         edges = found if edges is None else edges.unionByName(found)
+        if level < depth and paths.isEmpty():
+            break
 
     groups = written(components(edges, "path-groups"), "path-groups")
     group_sizes = groups.groupBy("component").agg(F.count("*").alias("members"))

@@ -22,10 +22,18 @@ def join_hot(rows: DataFrame, found: DataFrame, key: str, size: str, total: int,
     Keys with more than a 500th of the rows, of which there are fewer than 500, meet their rows by broadcast.
     """
     limit = max(1, total // _HOT)
-    hot = found.where(F.col(size) > limit)
     cold = found.where(F.col(size) <= limit)
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(hot), key).unionByName(rest.join(cold, key, how))
+    # One join tells which rows are hot. Its map has a row that matches nothing, so it is never empty, and plans
+    # have the same joins whatever the data.
+    no_row = found.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema])
+    hot = found.where(F.col(size) > limit).unionByName(no_row)
+    rest = [name for name in found.columns if name != key]
+    about = F.struct(*[F.col(f"`{name}`") for name in rest])
+    marked = rows.join(F.broadcast(hot.select(key, about.alias("hot_row"))), key, "left")
+    there = marked.where(F.col(f"hot_row.`{size}`").isNotNull())
+    there = there.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(f"hot_row.`{c}`").alias(c) for c in rest])
+    others = marked.where(F.col(f"hot_row.`{size}`").isNull()).drop("hot_row").join(cold, key, how)
+    return there.select(*others.columns).unionByName(others)
 
 
 def may_be_among(rows: DataFrame, key: Column, found: DataFrame, of_found: Column, into: str, bits: int = 25) -> DataFrame:

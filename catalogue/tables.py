@@ -463,7 +463,7 @@ def audit_log(t: Tables) -> DataFrame:
     return curate(_dirty_orders(t), CurationConfig(primary_key="o_orderkey")).audit.drop("Timestamp")
 
 
-@query("profile_customer", f"""
+@query("profile_customer", rf"""
     with dirty as (select *, null::varchar as nothing from ({DIRTY_CUSTOMER_SQL})), long as (
         {" union all ".join(
             f'''select '{new}' as "column", {old} as v, {sql_trim(old)} as t, {clean} as k from dirty'''

@@ -23,10 +23,10 @@ def join_hot(rows: DataFrame, found: DataFrame, key: str, size: str, total: int,
     """
     limit = max(1, total // _HOT)
     cold = found.where(F.col(size) <= limit)
-    # One join tells which rows are hot. Its map has a row that matches nothing, so it is never empty, and plans
-    # have the same joins whatever the data.
-    no_row = found.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema])
-    hot = found.where(F.col(size) > limit).unionByName(no_row)
+    # One join tells which rows are hot. A key that is not stands in its map as well, without a size, so that plans have
+    # the same joins whatever the data.
+    one = cold.limit(1).withColumn(size, F.lit(None).cast(found.schema[size].dataType))
+    hot = found.where(F.col(size) > limit).unionByName(one)
     rest = [name for name in found.columns if name != key]
     about = F.struct(*[F.col(f"`{name}`") for name in rest])
     marked = rows.join(F.broadcast(hot.select(key, about.alias("hot_row"))), key, "left")

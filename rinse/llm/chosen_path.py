@@ -5,9 +5,10 @@ Texts are sets of hashed word n-grams. Equal texts are one set with a number of
 the sets are split recursively: a node of the recursion samples two coordinates by its path, and a set goes to one
 child for each, named by the token it has there. Children of at most `bucket` sets are compared by brute force. Of a
 larger one, a few leaders are compared with all its sets on the first level. Sets that are alike to leaders which such sets join are in one
-group whatever else they have in common, so a bucket with no other set is finished, and one with at most `bucket` others
+group whatever else they have in common, so a bucket with no other set is finished, and one with at most `signature_tile` others
 compares just these with all. What is left is split again, down to `depth`, and what is large even then is compared by
-brute force in tiles. So a large group of near copies is not carried through the levels. A pair of similarity s survives a level with probability 1 - (1 - s(1 - q))**2, where q is its loss below, and
+brute force in tiles. So a large group of near copies is not carried through the levels, where its rows would nearly
+double each time, also if a passage or a few hundred other sets stand in its buckets. A pair of similarity s survives a level with probability 1 - (1 - s(1 - q))**2, where q is its loss below, and
 runs are repeated until a pair at the threshold is lost less often than `1 - recall`.
 
 Comparison in buckets uses the min-hashes with a margin of six standard deviations, which loses another 3e-8 of the pairs
@@ -177,7 +178,7 @@ def _joined_leaders(masks: list[int]) -> int:
     return main
 
 
-def _led(large: DataFrame, total: int, coordinates: int, least: int, bucket: int, tile: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _led(large: DataFrame, total: int, coordinates: int, least: int, tile: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(edges, groups to be compared with members as in _compared, rows of buckets that remain) of large buckets.
 
     `large` has path, node, signature and size.
@@ -232,7 +233,7 @@ def _led(large: DataFrame, total: int, coordinates: int, least: int, bucket: int
     )
     open_paths = seen.where("rest > 0").select("path", "size", "main", "rest")
     rows = join_hot(marked.select("path", "node", "signature", "mask"), open_paths, "path", "size", total)
-    few = rows.where(F.col("rest") <= bucket).withColumn("other", F.expr("mask & main = 0"))
+    few = rows.where(F.col("rest") <= tile).withColumn("other", F.expr("mask & main = 0"))
     parts = F.ceil(F.col("size") / tile)
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
     member = F.struct(F.col("other").cast("int").alias("side"), "node", "signature")
@@ -240,7 +241,7 @@ def _led(large: DataFrame, total: int, coordinates: int, least: int, bucket: int
     spread = few.where("not other").withColumn("part", F.pmod(F.xxhash64("node"), parts)).unionByName(few.where("other").withColumn("part", every))
     spread = spread.unionByName(few.where("other").withColumn("part", F.lit(-1).cast("bigint")).withColumn("other", F.lit(False)))
     groups = spread.groupBy("path", "part").agg(F.collect_list(member).alias("members"))
-    return edges.where("u != v"), groups, rows.where(F.col("rest") > bucket).select("path", "node", "signature", "size")
+    return edges.where("u != v"), groups, rows.where(F.col("rest") > tile).select("path", "node", "signature", "size")
 
 
 def _tiled(rows: DataFrame, parts: Column) -> DataFrame:
@@ -320,7 +321,7 @@ def jaccard_classes(
         found = _compared(small.agg(F.collect_list(F.struct("side", "node", "signature")).alias("members")), coordinates, least)
         paths = sized.where(F.col("size") > bucket)
         if level == 1:
-            led, groups, paths = _led(paths, paths.count(), coordinates, least, bucket, signature_tile)
+            led, groups, paths = _led(paths, paths.count(), coordinates, least, signature_tile)
             found = found.unionByName(_compared(groups, coordinates, least)).unionByName(led)
         if level < depth:
             paths = written(paths, "path-open")

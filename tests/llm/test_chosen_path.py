@@ -139,6 +139,26 @@ def test_a_large_group_is_not_carried_through_the_levels(spark, monkeypatch):
     assert rows[0] >= 10 * len(texts) and sum(rows[1:]) == 0
 
 
+def test_a_large_group_with_some_others_is_not_carried_through_the_levels(spark, monkeypatch):
+    rng = random.Random(23)
+    passage, base = some(100), some(110)
+    near = {" ".join(passage + base[:k] + [rng.choice(WORDS)] + base[k + 1 :]) for k in [rng.randrange(110) for _ in range(500)]}
+    rows = list(enumerate(sorted(near) + [" ".join(passage + some(60)) for _ in range(200)]))
+    counts = []
+    counted = chosen_path._children
+
+    def counting(paths, coordinates):
+        out = counted(paths, coordinates)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(chosen_path, "_children", counting)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = chosen_path.with_classes(docs, chosen_path.jaccard_classes(docs))
+    assert {r.doc_id: (r.class_id, r.n_links) for r in found.collect()} == plain(rows)
+    assert counts[0] == 10 * len(rows) and sum(counts[1:]) == 0
+
+
 def test_leaders():
     assert chosen_path._joined_leaders([]) == 1
     assert chosen_path._joined_leaders([0b0011, 0b0110, 0b1000, 0]) == 0b0111

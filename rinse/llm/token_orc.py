@@ -21,6 +21,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,10 @@ _CLASS[32] = _SPACE
 _CLASS[9:14] = _BREAK
 _CLASS[128:] = _FOREIGN
 _QUOTE = 39
-_REMEMBERED = 2_000_000
+#: A unit takes about 50 bytes, and workers live on between tasks.
+_REMEMBERED = 1 << 19
+#: Texts that are on their way to or from a worker at a time.
+_BATCH_ROWS = 1000
 _SHORT = 15
 _FRONT = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
@@ -104,8 +108,9 @@ class Encoder:
     def forget(self) -> None:
         # Each remembered unit by a key, its bytes and length as two integers, and where its ids stand.
         self.keys, self.front, self.back = (np.zeros(0, np.uint64) for _ in range(3))
-        self.at, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.at, self.n = np.zeros(0, np.int32), np.zeros(0, np.int8)
         self.ids = np.zeros(0, np.int32)
+        self.again = np.zeros(0, bool)  # which have been looked up after they were learned
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -185,6 +190,7 @@ class Encoder:
             at, _ = self._find(distinct)
         if (self.front[at] != front[sample]).any() or (self.back[at] != back[sample]).any():
             return None
+        self.again[at[known]] = True
         return at[which]
 
     def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,15 +207,22 @@ class Encoder:
         new = np.fromiter((i for ids in found for i in ids), dtype=np.int64, count=int(n.sum())).astype(np.int32)
         self.ids = np.concatenate([self.ids, new])
         place = np.searchsorted(self.keys, keys)
-        self.keys, self.front, self.back, self.at, self.n = (
-            np.insert(old, place, x)
-            for old, x in ((self.keys, keys), (self.front, front), (self.back, back), (self.at, at), (self.n, n))
-        )
+        for name, x in (("keys", keys), ("front", front), ("back", back), ("at", at), ("n", n), ("again", False)):
+            setattr(self, name, np.insert(getattr(self, name), place, x))
 
     def tidy(self) -> None:
-        """Keeps the memory bounded; called between batches."""
-        if len(self.keys) > _REMEMBERED:
+        """Keeps the memory bounded; called between slices. Units that were met in one slice alone go first."""
+        if len(self.keys) <= _REMEMBERED:
+            return
+        kept = self.again
+        if kept.sum() > _REMEMBERED // 2:
             self.forget()
+            return
+        n = self.n[kept].astype(np.int64)
+        first = np.cumsum(n) - n
+        self.ids = self.ids[np.repeat(self.at[kept] - first, n) + np.arange(int(n.sum()))]
+        self.keys, self.front, self.back, self.n = (x[kept] for x in (self.keys, self.front, self.back, self.n))
+        self.at, self.again = first.astype(np.int32), np.zeros(len(n), bool)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -221,6 +234,19 @@ def _encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+@contextmanager
+def _smaller_batches(spark: SparkSession) -> Iterator[None]:
+    """Whole texts pass to and from workers in batches of at most `_BATCH_ROWS`; the session's setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    # Not positive means no bound.
+    spark.conf.set(name, str(min(int(before), _BATCH_ROWS) if int(before) > 0 else _BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_tokens(
     docs: DataFrame,
     folder: str,
@@ -264,15 +290,16 @@ def write_tokens(
                 )
                 encoder.tidy()
 
-    (
-        ordered.mapInArrow(encode, STORED)
-        .write.option("orc.compress", codec.upper())
-        .option("orc.bloom.filter.columns", "doc_id")
-        .option("orc.bloom.filter.fpp", str(bloom_fpp))
-        .option("orc.row.index.stride", str(index_stride))
-        .option("orc.encoding.strategy", "COMPRESSION")
-        .orc(folder)
-    )
+    with _smaller_batches(spark):
+        (
+            ordered.mapInArrow(encode, STORED)
+            .write.option("orc.compress", codec.upper())
+            .option("orc.bloom.filter.columns", "doc_id")
+            .option("orc.bloom.filter.fpp", str(bloom_fpp))
+            .option("orc.row.index.stride", str(index_stride))
+            .option("orc.encoding.strategy", "COMPRESSION")
+            .orc(folder)
+        )
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:

@@ -114,3 +114,42 @@ def test_units_of_equal_sums_are_told_apart():
         flat, _ = encoder.encode(data, offsets)
         assert flat.tolist() == encode("some other text")
 
+
+def test_what_an_encoder_remembers_is_bounded():
+    encode, encoder = plain(), token_orc.Encoder(PATH)
+    for k in range(14):
+        texts = [" ".join(f"u{i}" for i in range(50_000 * k, 50_000 * (k + 1))) + " often often"]
+        for _, _, data, offsets in text_slices(pa.array(texts)):
+            flat, counts = encoder.encode(data, offsets)
+            assert flat[:2000].tolist() == encode(texts[0][:20_000])[:2000] and counts.sum() == len(flat)
+        encoder.tidy()
+    held = sum(x.nbytes for x in vars(encoder).values() if isinstance(x, np.ndarray))
+    assert len(encoder.keys) < 600_000 and held < 40e6
+    # What is met again and again stays, with its ids.
+    raw = np.frombuffer(b" often", dtype=np.uint8)
+    assert len(encoder.keys) and encoder.encode(raw, np.array([0, 6]))[0].tolist() == encode(" often")
+
+
+def test_units_that_are_met_again_stay(monkeypatch):
+    monkeypatch.setattr(token_orc, "_REMEMBERED", 200)
+    rng, encode, encoder = random.Random(8), plain(), token_orc.Encoder(PATH)
+    often = [f"often{i}" for i in range(60)]
+    for k in range(40):
+        text = " ".join(rng.sample(often, 60) + [f"once{k}x{i}" for i in range(20)])
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        flat, _ = encoder.encode(data, np.array([0, len(data)]))
+        assert flat.tolist() == encode(text)
+        encoder.tidy()
+        assert len(encoder.keys) <= 200 and len(encoder.ids) == encoder.n.sum()
+        assert k < 2 or len(encoder.keys) >= 60
+
+
+def test_the_sessions_batch_size_comes_back(spark, tmp_path):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(2500)], "doc_id bigint, text string")
+    token_orc.write_tokens(docs, str(tmp_path / "tokens"), PATH, parts=1)
+    assert spark.conf.get(name) == before
+    got = token_orc.token_index(spark, str(tmp_path / "tokens")).orderBy("doc_id").collect()
+    sizes = [r.n_tokens for r in got]
+    assert [r.doc_id for r in got] == list(range(2500)) and [r.start for r in got] == [sum(sizes[:k]) for k in range(2500)]

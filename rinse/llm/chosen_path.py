@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from rinse.llm.bytewords import mix, span_hashes, spans, text_slices
 from rinse.llm.components import components, join_hot, may_be_among
-from rinse.llm.shared import tasks, written
+from rinse.llm.shared import smaller_batches, tasks, written
 
 _CHILDREN = 2
 _DEVIATIONS = 6
@@ -304,7 +304,8 @@ def jaccard_classes(
     texts = signed.groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("signature").alias("signature")
     )
-    texts = written(texts, "path-texts")
+    with smaller_batches(docs.sparkSession):
+        texts = written(texts, "path-texts")
     sets = texts.where("signature is not null").select("node", "signature")
 
     runs = runs_for(recall, threshold, depth)

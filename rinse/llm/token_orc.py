@@ -21,7 +21,6 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rinse.llm.bytewords import eights, lists, mix, text_slices
-from rinse.llm.shared import tasks
+from rinse.llm.shared import smaller_batches, tasks, written
 
 STORED = "doc_id bigint, part int, start bigint, n_tokens int, ids array<int>"
 
@@ -44,8 +43,6 @@ _CLASS[128:] = _FOREIGN
 _QUOTE = 39
 #: A unit takes about 50 bytes, and workers live on between tasks.
 _REMEMBERED = 1 << 19
-#: Texts that are on their way to or from a worker at a time.
-_BATCH_ROWS = 1000
 _SHORT = 15
 _FRONT = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
@@ -234,19 +231,6 @@ def _encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-@contextmanager
-def _smaller_batches(spark: SparkSession) -> Iterator[None]:
-    """Whole texts pass to and from workers in batches of at most `_BATCH_ROWS`; the session's setting comes back."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    # Not positive means no bound.
-    spark.conf.set(name, str(min(int(before), _BATCH_ROWS) if int(before) > 0 else _BATCH_ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def write_tokens(
     docs: DataFrame,
     folder: str,
@@ -290,7 +274,7 @@ def write_tokens(
                 )
                 encoder.tidy()
 
-    with _smaller_batches(spark):
+    with smaller_batches(spark):
         (
             ordered.mapInArrow(encode, STORED)
             .write.option("orc.compress", codec.upper())
@@ -335,8 +319,10 @@ def token_index(spark: SparkSession, folder: str) -> DataFrame:
     rows = stored.select("doc_id", "part", "start", "ids").mapInArrow(
         measure, "doc_id bigint, part int, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
+    with smaller_batches(spark):
+        rows = written(rows, "token-index")
     # One row per file: its ids, and those of the files before it.
-    sizes = stored.groupBy("part").agg(F.sum("n_tokens").alias("size"))
+    sizes = rows.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     places = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
     return rows.join(places, "part").select(

@@ -59,23 +59,32 @@ def _star(edges: DataFrame, total: int) -> DataFrame:
     return join_hot(edges, least, "u", "n", total)
 
 
+def _unfinished(edges: DataFrame) -> tuple[int, int]:
+    """How many edges there are (u > v, each once), and how many nodes have more than one smaller neighbour or both a
+    smaller and a larger one. Without such nodes, each component is a star around its least node."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    found = nodes.agg(F.coalesce(F.sum("up"), F.lit(0)), F.count_if((F.col("up") > 0) & (F.col("up") + F.col("down") > 1)))
+    return tuple(found.first())
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) for every node of `edges` (u, v); the component is the least node. Loops and repeats are allowed."""
     edges = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = written(edges, name)
-    state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     while True:
-        total = state[0]
+        total, unfinished = _unfinished(edges)
+        if not unfinished:
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, 2 * total).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, name)
+        large = written(large, name, total)
         small = _star(large, large.count())
         small = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small.select("u", F.col("m").alias("v"))
         )
-        edges = written(small.distinct(), name)
-        last, state = state, edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == last:
-            break
+        edges = written(small.distinct(), name, total)
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

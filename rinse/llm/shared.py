@@ -16,9 +16,19 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return scratch_folder(spark, name)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: cuts the lineage and fixes the rows."""
+#: Fewer rows than this are not worth a task and a file of their own.
+_ROWS_A_FILE = 5000
+
+
+def written(df: DataFrame, name: str, about: int | None = None) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: cuts the lineage and fixes the rows.
+
+    Where there are about so many rows, as far as known, few of them are written by few tasks, however many partitions
+    the session asks of a shuffle. Tables of many rows are written by as many tasks as without it.
+    """
     spark = df.sparkSession
+    if about is not None:
+        df = df.coalesce(min(tasks(spark), about // _ROWS_A_FILE + 1))
     folder = shared_folder(spark, name)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

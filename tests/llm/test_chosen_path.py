@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 
 from rinse.llm import chosen_path
+from rinse.llm import components as stars
 from rinse.llm.components import components
+from rinse.llm.shared import written
 
 RNG = random.Random(11)
 WORDS = [f"w{i}" for i in range(3000)]
@@ -110,6 +112,41 @@ def test_components_of_chains_and_stars(spark):
     assert got == want and len(rows) == len(want)
 
 
+def test_components_of_finished_stars_take_no_round(spark, monkeypatch):
+    def star(*_):
+        raise AssertionError("a round")
+
+    monkeypatch.setattr(stars, "_star", star)
+    edges = [(0, k) for k in range(1, 40)] + [(7000, 50), (60, 50), (50, 60), (8, 8)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert got == {k: 0 for k in range(40)} | {k: 50 for k in (50, 60, 7000)}
+    assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_few_rows_make_few_files(spark):
+    rows = spark.range(100).repartition(8)
+    for about, files in ((100, 1), (12_000, 3), (10**9, 8), (None, 8)):
+        out = written(rows, "few", about)
+        assert (len(out.inputFiles()), out.count()) == (files, 100)
+
+
+def test_later_levels_read_open_sets_alone(spark, monkeypatch):
+    rng, passage, read = random.Random(29), some(60), []
+
+    def counting(df, name, *about):
+        if name == "path-sized":
+            read.append({f.split("/")[-2].rsplit("-", 1)[0] for f in df.inputFiles()})
+        return written(df, name, *about)
+
+    monkeypatch.setattr(chosen_path, "written", counting)
+    words = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    rows = list(enumerate(" ".join(words(30) + passage + words(30)) for _ in range(60)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = chosen_path.with_classes(docs, chosen_path.jaccard_classes(docs, bucket=4, signature_tile=20))
+    assert {r.doc_id: (r.class_id, r.n_links) for r in found.collect()} == plain(rows)
+    assert len(read) > 1 and "path-texts" in read[0] and not any("path-texts" in x for x in read[1:])
+
+
 def thue_morse(n, other=0):
     return "".join("ab"[(bin(i).count("1") + other) % 2] for i in range(n))
 
